@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import pii, quality_rules, secret_scan
 from .common import table
 
 
@@ -39,8 +39,16 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op4_quality_rules": op4_quality_rules}
+    return {"op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan}
 
 
 def oracle_sql() -> dict[str, str]:
