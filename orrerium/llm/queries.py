@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality_rules, secret_scan
+from . import ngram_join, pii, quality_rules, secret_scan
 from .common import table
 
 
@@ -39,6 +39,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+with recursive t as (select row_number() over () as rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+s as (select distinct rid, array_to_string(words[i : i + 4], ' ') as g from (select rid, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from t where len(words) > 0)),
+n as (select rid, count(*) as n from s group by rid),
+c as (select a.rid as a, b.rid as b, count(*) as c from s a join s b on a.g = b.g and a.rid <> b.rid group by 1, 2),
+l as (select c.a, c.b from c join n x on x.rid = c.a join n y on y.rid = c.b where 5 * c.c >= 4 * (x.n + y.n - c.c)),
+r as (select rid, rid as seen from t union select r.rid, l.b from r join l on l.a = r.seen),
+k as (select r.rid, min(t.doc_id) as class_id from r join t on t.rid = r.seen group by 1)
+select t.doc_id, k.class_id, (select count(*) from l where l.a = t.rid) as n_links from t join k using (rid)
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -48,8 +64,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan}
+    return {"op2_ngram_join": op2_ngram_join, "op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4_SQL}
+    return {"op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL}
