@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, pii, quality_rules, secret_scan
+from . import decontamination, ngram_join, pii, quality_rules, secret_scan
 from .common import table
 
 
@@ -63,9 +63,27 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP9_SQL = r"""
+with fold as (select row_number() over () as rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as words from documents),
+item as (select item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as words from benchmark),
+sized as (select item_id, words, least(len(words), 10) as k from item where len(words) > 0),
+win as (select distinct item_id, k, array_to_string(words[i : i + k - 1], ' ') as g from (select item_id, words, k, unnest(range(1, len(words) - k + 2)) as i from sized)),
+doc as (select rid, k, i, array_to_string(words[i : i + k - 1], ' ') as g from (select rid, words, k, unnest(range(1, greatest(len(words) - k + 2, 1))) as i from fold cross join (select distinct k from sized))),
+hit as (select rid, i, k, item_id from doc join win using (k, g)),
+cov as (select rid, count(distinct p) as n_hit from (select rid, unnest(range(i, i + k)) as p from hit) group by rid),
+ids as (select rid, count(*) as n_items, string_agg(id, ',' order by id) as joined from (select distinct rid, cast(item_id as varchar) as id from hit) group by rid)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(joined, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from fold left join cov using (rid) left join ids using (rid)
+"""
+
+
 def queries() -> dict:
-    return {"op2_ngram_join": op2_ngram_join, "op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan}
+    return {"op2_ngram_join": op2_ngram_join, "op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan, "op9_decontamination": op9_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL}
+    return {"op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_decontamination": OP9_SQL}
