@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, ngram_join, pii, quality_rules, secret_scan
+from . import decontamination, mixing, ngram_join, pii, quality_rules, secret_scan, sharding
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(table(spark, sf_dir, "documents"))
 
@@ -81,8 +85,20 @@ from fold left join cov using (rid) left join ids using (rid)
 """
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op2_ngram_join": op2_ngram_join, "op4_quality_rules": op4_quality_rules, "op5_pii": op5_pii, "op8_secret_scan": op8_secret_scan, "op9_decontamination": op9_decontamination}
+    return {
+        "op2_ngram_join": op2_ngram_join,
+        "op4_quality_rules": op4_quality_rules,
+        "op5_pii": op5_pii,
+        "op6_mixing": op6_mixing,
+        "op8_secret_scan": op8_secret_scan,
+        "op9_decontamination": op9_decontamination,
+        "op10_sharding": op10_sharding,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
