@@ -20,12 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with files in the shared folder that the session names; sets a local one only where none is."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints that the session names; a local one is made only where none is named, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="orrerium-checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orrerium-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with files in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -5,10 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, ngram_join, pii, quality_rules, secret_scan, sharding
+import corpus_pipeline
+
+from . import chat_format, decontamination, language_id, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, sharding
 from .common import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(conversations.unionByName(extra))
+
+
+OP1_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, length(text) + (length(text) - length(replace(text, '\', ''))) + (length(text) - length(replace(text, '</turn>', ''))) // 7
+        + length(array_to_string(regexp_extract_all(text, '#{3,}'), '')) - 2 * len(regexp_extract_all(text, '#{3,}')) as chars from c)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars + length(role) + 14) as bigint) as formatted_chars, cast(count(*) as double) as path_score
+from e group by conv_id
+"""
+
+
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return book.select(
@@ -63,6 +89,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find(table(spark, sf_dir, "documents"))
 
@@ -89,17 +119,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
+        "op1_chat_format": op1_chat_format,
         "op2_ngram_join": op2_ngram_join,
+        "op3_quality_model": op3_quality_model,
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
         "op6_mixing": op6_mixing,
+        "op7_language_id": op7_language_id,
         "op8_secret_scan": op8_secret_scan,
         "op9_decontamination": op9_decontamination,
         "op10_sharding": op10_sharding,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_decontamination": OP9_SQL}
+    return {"op1_chat_format": OP1_SQL, "op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_decontamination": OP9_SQL}
