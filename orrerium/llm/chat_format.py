@@ -74,8 +74,12 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     chosen = checkpoint(scored.withColumn("rank", rank).filter(F.col("rank") <= best))
     walk = chosen.withColumn("node", F.col("leaf"))
     for k in reversed(range(len(tables))):
-        moved = walk.join(tables[k].select("conv", "node", "up"), ["conv", "node"]).select("conv", "leaf", "path_score", (F.col("depth") - 2**k).alias("depth"), "rank", F.col("up").alias("node"))
-        walk = walk.select("conv", "leaf", "path_score", "depth", "rank", "node").unionAll(moved)
+        # Each place on the path stays and, where it has an ancestor 2**k up, brings that one along.
+        up = tables[k].select("conv", "node", "up")
+        here = F.struct("node", "depth")
+        above = F.struct(F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
+        both = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, above))
+        walk = walk.join(up, ["conv", "node"], "left").select("conv", "leaf", "path_score", "rank", F.inline(both))
     return walk.join(nodes.select("conv", "node", "role", "text"), ["conv", "node"]).select("conv", "leaf", "rank", "path_score", "depth", "role", "text")
 
 
