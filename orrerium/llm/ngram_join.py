@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import byte_table, checkpoint, grams, text_batches, words_of
+from .common import BLANK, byte_table, checkpoint, grams, text_batches, words_of
 from .components import components
 
 SHINGLE = 5
@@ -248,7 +248,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """digest, root (one number for each class), class_id and n_links for each distinct text with a word."""
+    """digest, doc_id (its least), root (one number for each class), class_id and n_links for each distinct text with a word."""
     nodes = nodes_of(docs)
     near = components(candidates(nodes)).join(nodes.select("node", "digest", "doc_id", "copies"), "node")
     near = near.withColumn("size", F.count("*").over(Window.partitionBy("root")))
@@ -260,24 +260,31 @@ def classes(docs: DataFrame) -> DataFrame:
     grouped = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     every = nodes.select("node", "digest", "doc_id", "copies").join(links, "node", "left").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = every.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return every.join(named, "root").select("digest", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return every.join(named, "root").select("digest", "doc_id", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and n_links, a row for each row of the input."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = docs.select("doc_id", _row_key("text").alias("digest"))
-    out = rows.join(classes(docs), "digest", "left")
+    out = rows.join(classes(docs).drop("doc_id"), "digest", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class, the document of least id (of rows that repeat it, one); texts without words all stay."""
-    named = classes(docs.select("doc_id", F.col("text").cast("string").alias("text"))).select(F.col("digest").alias("key"), "root", "class_id")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key("text").alias("key"))
-    kept = rows.join(named, "key", "left").filter("root is null or class_id <=> row.doc_id")
-    # An id that names its class may stand in several rows: one of them stays.
-    again = kept.filter("root is not null").groupBy("root").count().filter("count > 1").select(F.col("root").alias("twice"))
-    marked = kept.join(again, F.col("root") == F.col("twice"), "left")
-    once = marked.filter("twice is not null").dropDuplicates(["twice"])
-    return marked.filter("twice is null").unionAll(once).select("row.*")
+    """Pipeline stage: of each class, the document of least id (of rows that repeat it, one); texts without words all stay.
+
+    Who stays is decided on ids and digests; whole rows move once, to meet that decision.
+    """
+    text = F.col("text").cast("string")
+    keyed = docs.select("doc_id", text.alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("digest"))
+    first = classes(keyed).groupBy("root").agg(F.min(order).alias("first")).select("root", "first.doc_id", "first.digest")
+    times = keyed.select(F.col("doc_id").alias("__id"), _row_key("text").alias("__key")).groupBy("__id", "__key").agg(F.count("*").alias("times"))
+    first = first.join(times, (F.col("digest") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))).select(F.col("root").alias("__root"), F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "times")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"))
+    has_word = F.coalesce(F.col("text").rlike(f"[^{BLANK[1:]}"), F.lit(False))
+    kept = rows.filter(has_word).select("row", F.col("row.doc_id").alias("doc_id"), _row_key("text").alias("key"))
+    kept = kept.join(first, (F.col("key") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = kept.filter("times > 1").dropDuplicates(["__root"])
+    return kept.filter("times = 1").select("row.*").unionAll(once.select("row.*")).unionAll(rows.filter(~has_word).select("row.*"))
