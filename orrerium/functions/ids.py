@@ -102,5 +102,8 @@ def unique_pairs(c) -> Column:
 def preferred_identifier(c, *kinds: str) -> Column:
     """The first identifier of the first kind that there is, else the first of all."""
     c = _col(c)
-    each = [F.get(F.filter(c, lambda x, k=kind: x["identifier_type"] == k), F.lit(0)) for kind in kinds]
-    return F.coalesce(*each, F.get(c, F.lit(0)))
+
+    def first(kind: str) -> Column:
+        return F.get(F.filter(c, lambda x: x["identifier_type"] == kind), F.lit(0))
+
+    return F.coalesce(*map(first, kinds), F.get(c, F.lit(0)))

@@ -25,6 +25,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, then) -> Column:
+    """then(c), with c evaluated once however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
 def _all(c, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(group))
 
@@ -43,11 +48,14 @@ def balanced(c: Column, brackets=BRACKETS) -> Column:
 
     What may go is a run of one sign at the end, so that the number to drop is the least of the run and the surplus.
     """
+    count = lambda x, sign: F.length(x) - F.length(F.replace(x, F.lit(sign), F.lit("")))
+
+    def drop(last: str, other: str):
+        run = lambda x: F.length(F.regexp_extract(x, f"\\{last}*$", 0))
+        return lambda x: F.substring(x, F.lit(1), F.length(x) - F.greatest(F.least(run(x), count(x, last) - count(x, other)), F.lit(0)))
+
     for opening, closing in brackets:
-        for last, other in ((closing, opening), (opening, closing)):
-            run = F.length(F.regexp_extract(c, f"\\{last}*$", 0))
-            surplus = F.length(c) - F.length(F.replace(c, F.lit(last), F.lit(""))) - (F.length(c) - F.length(F.replace(c, F.lit(other), F.lit(""))))
-            c = F.substring(c, F.lit(1), F.length(c) - F.greatest(F.least(run, surplus), F.lit(0)))
+        c = let(let(c, drop(closing, opening)), drop(opening, closing))
     return c
 
 
@@ -104,18 +112,18 @@ def readme_doi_cleaned(c) -> Column:
     for pattern in SUFFIXES:
         doi = F.regexp_replace(doi, pattern, "")
     doi = F.lower(F.trim(F.regexp_replace(balanced(doi, (*BRACKETS, ("<", ">"))), r"^[\[\(\{\"'<\s_]+", "")))
-    special = doi.startswith("10.1101/") | doi.startswith("10.22541/")
-    doi = F.when(special, F.regexp_replace(F.regexp_replace(doi, r"\.(abstract|full|pdf)$", ""), r"\.supplementary.*$", "")).otherwise(doi)
+    special = lambda x: x.startswith("10.1101/") | x.startswith("10.22541/")
+    doi = let(doi, lambda x: F.when(special(x), F.regexp_replace(F.regexp_replace(x, r"\.(abstract|full|pdf)$", ""), r"\.supplementary.*$", "")).otherwise(x))
     parts = F.filter(F.split(doi, "/"), lambda p: (p != "") & ~p.rlike(NO_PART))
     trash = lambda p: p.isin(*WEB_PARTS) | p.rlike(WEB_PATTERN) | ((F.length(p) > 40) & p.contains("-"))
     # Parts go from the end while they are trash and more than two are left: up to the last part that isn't trash.
-    good = F.transform(parts, lambda p, i: F.when(~trash(p) | (i < 2), i + 1).otherwise(0))
-    parts = F.slice(parts, 1, F.greatest(F.coalesce(F.array_max(good), F.lit(0)), F.lit(0)))
-    part = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit(""))
-    short = ((F.size(parts) >= 4) & part(2).rlike(r"^\d{5,}$")) | ((F.size(parts) == 5) & (part(2) == part(4)) & part(3).rlike(r"^\d+$"))
-    doi = F.array_join(F.when(short, F.slice(parts, 1, 3)).otherwise(parts), "/")
-    dots = F.length(doi) - F.length(F.replace(doi, F.lit("."), F.lit("")))
-    return F.when((dots <= 10) & ~doi.rlike(NO_DOI) & doi.rlike(VALID_DOI) & (F.length(doi) >= 9), doi)
+    good = lambda ps: F.coalesce(F.array_max(F.transform(ps, lambda p, i: F.when(~trash(p) | (i < 2), i + 1).otherwise(0))), F.lit(0))
+    parts = let(parts, lambda ps: F.slice(ps, F.lit(1), good(ps)))
+    part = lambda ps, i: F.coalesce(F.get(ps, F.lit(i)), F.lit(""))
+    short = lambda ps: ((F.size(ps) >= 4) & part(ps, 2).rlike(r"^\d{5,}$")) | ((F.size(ps) == 5) & (part(ps, 2) == part(ps, 4)) & part(ps, 3).rlike(r"^\d+$"))
+    doi = let(parts, lambda ps: F.array_join(F.when(short(ps), F.slice(ps, 1, 3)).otherwise(ps), "/"))
+    dots = lambda x: F.length(x) - F.length(F.replace(x, F.lit("."), F.lit("")))
+    return let(doi, lambda x: F.when((dots(x) <= 10) & ~x.rlike(NO_DOI) & x.rlike(VALID_DOI) & (F.length(x) >= 9), x))
 
 
 def without_control(c) -> Column:

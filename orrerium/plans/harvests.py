@@ -101,7 +101,7 @@ def citation_blocks(slim: DataFrame) -> DataFrame:
 
 def cited_dois(blocks: DataFrame) -> DataFrame:
     """Distinct DOIs of all citation blocks."""
-    return blocks.select(ids.norm_doi(F.explode("citations.dois")).alias("doi")).filter("doi <> ''").distinct()
+    return blocks.select(F.explode("citations.dois").alias("raw")).select(ids.norm_doi("raw").alias("doi")).filter("doi <> ''").distinct()
 
 
 def latest_dates(dois: DataFrame, published: DataFrame) -> DataFrame:
@@ -205,7 +205,8 @@ def works_metadata(works: DataFrame) -> DataFrame:
 
 
 def works_citations(works: DataFrame) -> DataFrame:
-    return works.select(ids.last_segment("id").alias("citing_oa_id"), ids.last_segment(F.explode("referenced_works")).alias("cited_oa_id"))
+    each = works.select("id", F.explode("referenced_works").alias("cited"))
+    return each.select(ids.last_segment("id").alias("citing_oa_id"), ids.last_segment("cited").alias("cited_oa_id"))
 
 
 def resolved_links(links: DataFrame, works: DataFrame, datasets: DataFrame) -> DataFrame:
