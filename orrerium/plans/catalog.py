@@ -194,7 +194,7 @@ def floored_factors(spark: SparkSession, d: str) -> DataFrame:
 
 def _indexed(spark, d, extra: DataFrame | None = None) -> DataFrame:
     rows = _kept(_metrics(spark, d))
-    return metrics.dataset_index(rows, metrics.floored_factors(metrics.topic_factors(rows)), metrics.floored_factors(metrics.subfield_factors(rows)))
+    return metrics.dataset_index(rows, _kept(metrics.floored_factors(metrics.topic_factors(rows))), _kept(metrics.floored_factors(metrics.subfield_factors(rows))))
 
 
 def _label(year: str) -> str:

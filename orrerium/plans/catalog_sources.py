@@ -198,10 +198,10 @@ def code_search_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 GRAPH = {
     "origin": "select 'o' || cast(c_custkey as string) as id, case when c_custkey % 2 = 0 then 'https://github.com/u/' else 'https://gitlab.example/u/' end || cast(c_custkey as string) as url from customer",
-    "status": "select case when o_custkey % 2 = 0 then 'https://github.com/u/' else 'https://gitlab.example/u/' end || cast(o_custkey as string) as origin, o_orderdate as date, case when o_orderkey % 9 = 0 then null else 's' || cast(o_orderkey % 500 as string) end as snapshot from orders",
-    "branch": "select 's' || cast(p_partkey % 500 as string) as snapshot_id, {0} as name, 'r' || cast(p_partkey as string) as target, case when p_partkey % 10 = 0 then 'release' else 'revision' end as target_type from part",
-    "revision": "select 'r' || cast(p_partkey as string) as id, 'd' || cast(p_partkey % 700 as string) as directory from part",
-    "entry": "select 'd' || cast(p_partkey % 700 as string) as directory_id, {1} as name, 'c' || cast(p_partkey as string) as target, case when p_partkey % 8 = 0 then 'dir' else 'file' end as type from part",
+    "status": "select case when o_custkey % 2 = 0 then 'https://github.com/u/' else 'https://gitlab.example/u/' end || cast(o_custkey as string) as origin, o_orderdate as date, case when o_orderkey % 9 = 0 then null else 's' || cast(o_orderkey % 1000 as string) end as snapshot from orders",
+    "branch": "select 's' || cast(p_partkey % 1000 as string) as snapshot_id, {0} as name, 'r' || cast(p_partkey as string) as target, case when p_partkey % 10 = 0 then 'release' else 'revision' end as target_type from part",
+    "revision": "select 'r' || cast(p_partkey as string) as id, 'd' || cast(p_partkey as string) as directory from part",
+    "entry": "select 'd' || cast(p_partkey - p_partkey % 2 as string) as directory_id, {1} as name, 'c' || cast(p_partkey as string) as target, case when p_partkey % 8 = 0 then 'dir' else 'file' end as type from part",
     "content": "select 'c' || cast(p_partkey as string) as sha1_git, 'x' || cast(p_partkey as string) as sha1 from part",
 }
 BRANCH, FILE = "case p_partkey % 3 when 0 then 'refs/heads/main' when 1 then 'refs/heads/master' else 'refs/heads/dev' end", "case p_partkey % 4 when 0 then 'README.md' when 1 then 'README' when 2 then 'readme.md' else 'LICENSE' end"

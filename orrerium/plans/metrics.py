@@ -116,7 +116,7 @@ def s_index(creator_rows: DataFrame, index: DataFrame, null_affiliation: str = "
     return rows.groupBy("distinct_group_id").agg(
         F.when(F.max("primary_identifier").isNotNull(), "identifier").otherwise("name_affiliation").alias("grouping_method"), mode("clean_name").alias("display_name"), F.max("primary_identifier").alias("primary_identifier"), distinct_union("affils").alias("all_affiliations"),
         mode("name_type").alias("name_type"), mode("topic_id").alias("primary_topic_id"), mode("topic_name").alias("primary_topic_name"), mode("subfield_id").alias("primary_subfield_id"), mode("subfield_name").alias("primary_subfield_name"),
-        F.count_distinct("topic_id").alias("n_unique_topics"), F.count_distinct("subfield_id").alias("n_unique_subfields"), F.min("pubyear").alias("first_pub_year"), F.max("pubyear").alias("last_pub_year"), F.count("*").alias("n_datasets"),
+        F.size(F.collect_set("topic_id")).cast("long").alias("n_unique_topics"), F.size(F.collect_set("subfield_id")).cast("long").alias("n_unique_subfields"), F.min("pubyear").alias("first_pub_year"), F.max("pubyear").alias("last_pub_year"), F.count("*").alias("n_datasets"),
         F.sum("dataset_index_topic").alias("S_index_topics"), F.sum("dataset_index_subfield").alias("S_index_subfield"), F.avg("dataset_index_topic").alias("avg_dataset_index_topics"), F.avg("dataset_index_subfield").alias("avg_dataset_index_subfield"),
         F.sum("total_cit_weight").alias("total_cit_weight"), F.sum("total_men_weight").alias("total_men_weight"), F.sum("total_citations").alias("sum_total_citations"), F.sum("total_mentions").alias("sum_total_mentions"), F.avg("fair_score").alias("avg_fair_score"),
     )

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # aggregates that collect keep hashing for so many keys before they sort
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import dois_in, emdb_in
@@ -17,20 +16,19 @@ from ..functions.text import dois_in, emdb_in
 BAD = "_bad"
 
 
-def ndjson(spark: SparkSession, paths: str | list[str], schema: T.StructType, keep_bad: bool = False, glob: str = "*.ndjson*") -> DataFrame:
+def ndjson(spark: SparkSession, paths: str | list[str], schema: str, keep_bad: bool = False, glob: str = "*.ndjson*") -> DataFrame:
     """Lines of files or folders (searched through); absent keys are null. A line that can't be parsed is dropped, or kept in BAD."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
     if not keep_bad:
         return reader.option("mode", "DROPMALFORMED").schema(schema).json(paths)
-    whole = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).schema(whole).json(paths)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).schema(f"{schema}, {BAD} string").json(paths)
 
 
 def bad_line_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.count(BAD).alias("n_bad"))
 
 
-def json_arrays(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+def json_arrays(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     return spark.read.option("multiLine", "true").schema(schema).json(paths)
 
 
