@@ -10,6 +10,8 @@ DOI = r"(?U)10\.\d{4,9}/[^\s\"'<>\]]+"
 EMDB = r"(?i)EMD-\d{4,5}"
 DOI_URL = "https://doi.org/"
 ORCID = r"^\d{4}-\d{4}-\d{4}-\d{4}$"
+#: What counts as white space at the ends of a text.
+WHITE = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 DASHES = r"[\u2010\u2011\u2012\u2013\u2014\u2015\u2212]"
 
 
@@ -19,7 +21,7 @@ def _col(c) -> Column:
 
 def stripped(c) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.trim(_col(c), F.lit(WHITE))
 
 
 def percent_decoded(c) -> Column:
@@ -79,7 +81,7 @@ def last_segment(c) -> Column:
 
 def clean_link(c) -> Column:
     """Without fragment, then slashes at the end, then outer blanks."""
-    return stripped(F.regexp_replace(F.substring_index(_col(c), "#", 1), "/+$", ""))
+    return stripped(F.rtrim(F.substring_index(_col(c), "#", 1), F.lit("/")))
 
 
 def is_url(c) -> Column:
