@@ -232,16 +232,16 @@ answer as (select g.gid as distinct_group_id, case when g.primary_identifier is
 
 
 def _authors(spark, d) -> DataFrame:
-    out = metrics.s_index(_creators(spark, d), _indexed(spark, d))
+    out = metrics.author_index(_creators(spark, d), _indexed(spark, d))
     rounded = ["S_index_topics", "S_index_subfield", "avg_dataset_index_topics", "avg_dataset_index_subfield", "total_cit_weight", "total_men_weight", "avg_fair_score"]
     return out.withColumns({**{c: F.round(c, 6) for c in rounded}, "all_affiliations": F.array_join("all_affiliations", "|")})
 
 
 @query(_AUTHORS + "select * from answer")
-def s_index(spark: SparkSession, d: str) -> DataFrame:
+def author_index(spark: SparkSession, d: str) -> DataFrame:
     return _authors(spark, d)
 
 
 @query(_AUTHORS + "select * from answer where not (name_type = 'Organizational' or display_name = 'GBIF.Org User')")
-def s_index_clean(spark: SparkSession, d: str) -> DataFrame:
+def author_index_people(spark: SparkSession, d: str) -> DataFrame:
     return metrics.people_only(_authors(spark, d))

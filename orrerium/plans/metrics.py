@@ -108,7 +108,7 @@ def author_key(null_affiliation: str = "reference") -> Column:
     return F.coalesce(F.col("primary_identifier"), F.concat(F.lower("clean_name"), F.lit("_["), parts, F.lit("]")))
 
 
-def s_index(creator_rows: DataFrame, index: DataFrame, null_affiliation: str = "reference") -> DataFrame:
+def author_index(creator_rows: DataFrame, index: DataFrame, null_affiliation: str = "reference") -> DataFrame:
     """One row for each author: identity, field, years, sums of indices and of metrics. One aggregation over creators."""
     rows = creator_rows.join(index.drop("creators"), "dataset_id")
     rows = rows.withColumns({"clean_name": F.trim("creator_name"), "affils": affiliation_list(F.to_json("affiliations"))}).withColumn("distinct_group_id", author_key(null_affiliation))

@@ -91,9 +91,9 @@ def test_authors(spark):
     rows = [("d1", [creator("Ann", None, None), creator("X", ["https://orcid.org/0000-0001"], None)]), ("d2", [creator("Bob", None, None), creator("Y", ["orcid:0000-0001"], ["Z"])]), ("d3", [creator("Cy", None, ["B, C", "A"])]), ("d4", [creator("cy ", None, ["C", "A", "B"])]), ("d5", None)]
     df = spark.createDataFrame(rows, "dataset_id string, creators array<struct<name:string,name_type:string,identifiers:array<string>,affiliations:array<string>>>")
     index = df.withColumns({**{c: F.lit("t") for c in ("topic_id", "topic_name", "subfield_id", "subfield_name")}, "pubyear": F.lit(2000), **{c: F.lit(1.0) for c in ("dataset_index_topic", "dataset_index_subfield", "total_cit_weight", "total_men_weight", "fair_score")}, "total_citations": F.lit(1), "total_mentions": F.lit(1)})
-    out = {r.distinct_group_id: r for r in metrics.s_index(metrics.creators(df), index).collect()}
+    out = {r.distinct_group_id: r for r in metrics.author_index(metrics.creators(df), index).collect()}
     assert set(out) == {None, "0000-0001", "cy_[a, b, c]"} and out[None].n_datasets == 2 and out["cy_[a, b, c]"].S_index_topics == 2.0 and out["0000-0001"].grouping_method == "identifier"
-    assert len(metrics.s_index(metrics.creators(df), index, "split").collect()) == 4
+    assert len(metrics.author_index(metrics.creators(df), index, "split").collect()) == 4
 
 
 def test_topic_choice(spark):
