@@ -9,9 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Every contract here counts words as runs of anything but these ASCII blanks.
 BLANK = r"[ \t\n\x0B\f\r]"
+#: Groups up to which a row for each of them is sent to every task.
+FEW_GROUPS = 10_000
 #: Bytes of text that a vectorised step holds at once; one longer text is a batch of its own.
 BATCH_BYTES = 1 << 20
 
@@ -39,6 +42,24 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def balanced_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """At most `most` rows with the columns (group, key), dealt evenly over the groups as far as they reach, by a hash of the key.
+
+    Each group is first thinned by that hash to about twice what it can give, from counts that are summed where rows lie;
+    so no group is sorted whole in one task.
+    """
+    hashed = rows.select(group, key, F.xxhash64(key).alias("__h"))
+    sizes = checkpoint(hashed.groupBy(group).agg(F.count("*").alias("__n")))
+    # Sent out whole while groups are few, so that rows are thinned where they lie and not after a shuffle by group.
+    sizes = F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes
+    # All of a group under twice the quota stays; of a larger one the expected number is twice the quota.
+    rate = F.least(F.lit(1.0), F.lit(2.0 * most) / F.col("__n"))
+    share = F.pmod(F.col("__h"), F.lit(1 << 30)) / float(1 << 30)
+    thin = hashed.join(sizes, group).filter(share <= rate)
+    place = F.row_number().over(Window.partitionBy(group).orderBy("__h", key))
+    return thin.withColumn("__p", place).filter(F.col("__p") <= most).orderBy("__p", group).limit(most).select(group, key)
+
+
 def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of at most BATCH_BYTES (or one row) of a text column: first row, end row, bytes, offsets from 0.
 

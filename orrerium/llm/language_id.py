@@ -21,9 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import held_out, text_batches
+from .common import balanced_sample, held_out, text_batches
 
 LENGTH = 64
 HIDDEN = 8
@@ -140,11 +139,10 @@ def train(docs: DataFrame) -> tuple[Network | None, list[str]]:
     """The network and its labels, from a bounded sample of the labelled rows that aren't held out."""
     rows = docs.filter(~held_out()).filter("lang is not null and text is not null").select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), "text")
     # The ids of a balanced sample are chosen first, so that texts of others are never moved.
-    by = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = rows.select("lang", "doc_id", "h").withColumn("n", F.row_number().over(by)).filter(F.col("n") <= TRAIN_ROWS).orderBy("n", "lang", "h").limit(TRAIN_ROWS)
+    chosen = balanced_sample(rows, "lang", "doc_id", TRAIN_ROWS)
     at = F.pmod(F.shiftright("h", 8), F.greatest(F.length("text") - TRAIN_BYTES, F.lit(1))).cast("int") + 1
     texts = rows.select("lang", "doc_id", "h", F.substring("text", at, F.lit(TRAIN_BYTES)).alias("text"))
-    sample = sorted({tuple(r) for r in texts.join(F.broadcast(chosen.select("lang", "doc_id", "h")), ["lang", "doc_id", "h"]).limit(2 * TRAIN_ROWS).collect()}, key=lambda r: (r[2], str(r[1]), r[0], r[3]))
+    sample = sorted({tuple(r) for r in texts.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "doc_id", "h", "text").limit(2 * TRAIN_ROWS).collect()}, key=lambda r: (r[2], str(r[1]), r[0], r[3]))
     return sample_fit([(r[0], r[3]) for r in sample])
 
 

@@ -21,9 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import byte_table, grams, held_out, text_batches, words_of
+from .common import balanced_sample, byte_table, grams, held_out, text_batches, words_of
 
 PASSAGE = 512
 TRAIN_ROWS, TRAIN_PASSAGES = 4000, 24
@@ -193,9 +192,8 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     """The model, or the share of label 1 where there is nothing to tell apart."""
     known = labels.filter(~held_out()).filter("quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
-    by = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= TRAIN_ROWS).orderBy("n", "quality").limit(TRAIN_ROWS)
-    rows = docs.filter(F.octet_length("text") > 0).join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")
+    chosen = balanced_sample(known, "quality", "doc_id", TRAIN_ROWS)
+    rows = docs.filter(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id")
     rows = rows.select("quality", F.col("doc_id").cast("string").alias("id"), "text")
     sample = sorted({tuple(r) for r in rows.mapInArrow(_described, "quality int, id string, x binary").limit(2 * TRAIN_ROWS).collect()}, key=lambda r: (r[1], r[2]))
     y = np.array([r[0] for r in sample], np.float32)
