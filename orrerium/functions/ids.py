@@ -19,6 +19,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, then) -> Column:
+    """then(c), with c evaluated once however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
 def stripped(c) -> Column:
     """Without white space of any kind at either end."""
     return F.trim(_col(c), F.lit(WHITE))
@@ -26,25 +31,24 @@ def stripped(c) -> Column:
 
 def percent_decoded(c) -> Column:
     """%XX as UTF-8; a plus sign and a malformed escape stay."""
-    safe = F.regexp_replace(F.replace(_col(c), F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
-    return F.coalesce(F.try_url_decode(safe), _col(c))
+    c = _col(c)
+    safe = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(safe), c)).otherwise(c)
 
 
 def norm_doi(c) -> Column:
     """The first DOI in a text, decoded and in lower case, without signs that end a sentence; empty if there is none."""
     found = F.regexp_extract(F.lower(percent_decoded(stripped(c))), DOI, 0)
-    return F.coalesce(F.regexp_replace(found, r"[.,;:)\]]+$", ""), F.lit(""))
+    return F.coalesce(F.rtrim(found, F.lit(".,;:)]")), F.lit(""))
 
 
 def norm_doi_url(c) -> Column:
-    doi = norm_doi(c)
-    return F.when(doi != "", F.concat(F.lit(DOI_URL), doi)).otherwise(F.lit(""))
+    return let(norm_doi(c), lambda doi: F.when(doi != "", F.concat(F.lit(DOI_URL), doi)).otherwise(F.lit("")))
 
 
 def doi_url_or_raw(c) -> Column:
     """The DOI as an address, or else the text as it is; null stays null."""
-    doi = norm_doi(c)
-    return F.when(doi != "", F.concat(F.lit(DOI_URL), doi)).otherwise(_col(c))
+    return let(norm_doi(c), lambda doi: F.when(doi != "", F.concat(F.lit(DOI_URL), doi)).otherwise(_col(c)))
 
 
 def norm_emdb(c) -> Column:
@@ -53,8 +57,8 @@ def norm_emdb(c) -> Column:
 
 def norm_dataset_id(c) -> Column:
     """A DOI, or else an EMDB accession, or else the text in lower case without outer white space; empty for null."""
-    doi, emdb = norm_doi(c), norm_emdb(c)
-    return F.when(doi != "", doi).when(emdb != "", emdb).otherwise(F.coalesce(F.lower(stripped(c)), F.lit("")))
+    other = let(norm_emdb(c), lambda emdb: F.when(emdb != "", emdb).otherwise(F.coalesce(F.lower(stripped(c)), F.lit(""))))
+    return let(norm_doi(c), lambda doi: F.when(doi != "", doi).otherwise(other))
 
 
 def norm_dataset_id_or_null(c) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .ids import percent_decoded
+from .ids import let, percent_decoded
 
 #: The five ways that a README names a DOI, and an EMDB accession.
 README_DOIS = (
@@ -25,11 +25,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def let(c: Column, then) -> Column:
-    """then(c), with c evaluated once however often it is used."""
-    return F.get(F.transform(F.array(c), then), F.lit(0))
-
-
 def _all(c, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(group))
 
