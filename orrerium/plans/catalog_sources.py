@@ -49,12 +49,12 @@ def extracted_mentions(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", F.array_join(text.dois_in("t"), " ").alias("dois"), F.array_join(text.emdb_in("t"), " ").alias("emdb"))
 
 
-README = "'[paper](https://doi.org/10.5555/(DS)' || cast(p_partkey as string) || ') DOI: 10.5555/b.' || cast(p_partkey as string) || '; http://dx.doi.org/10.5555/c' || cast(p_partkey as string) || ', EMD-' || cast(10000 + p_partkey as string)"
+README = "'[paper](https://doi.org/10.5555/(DS)' || cast(p_partkey as string) || ') DOI: 10.5555/b.' || cast(p_partkey as string) || '; http://dx.doi.org/10.5555/c' || cast(p_partkey as string) || ', EMD-' || cast(10000 + p_partkey % 90000 as string)"
 
 
 @query("select p_partkey, '10.5555/(DS)' || cast(p_partkey as varchar) || ' 10.5555/b.' || cast(p_partkey as varchar) || ' 10.5555/c' || cast(p_partkey as varchar) as dois, 'EMD-' || cast(10000 + p_partkey as varchar) as emdb from part where 10000 + p_partkey < 100000")
 def readme_mentions(spark: SparkSession, d: str) -> DataFrame:
-    rows = _sql(spark, d, f"select p_partkey, {README} as t from {{part}} where 10000 + p_partkey < 100000", "part")
+    rows = _sql(spark, d, f"select p_partkey, {README} as t from {{part}}", "part")
     return rows.select("p_partkey", F.array_join(text.readme_dois("t"), " ").alias("dois"), F.array_join(text.readme_emdb("t"), " ").alias("emdb"))
 
 
