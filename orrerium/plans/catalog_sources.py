@@ -174,19 +174,19 @@ def _flat(df: DataFrame) -> DataFrame:
 
 @query(_mention_sql("select '10.5555/ds.' || cast((o_custkey * 3 + k) % 2000 as varchar) as key, 'https://patents.example/' || cast(o_orderkey as varchar) as mention_link, cast(cast(o_orderdate as date) as varchar) || 'T00:00:00' as iso, cast(year(o_orderdate) as int) as y from orders cross join (select 0 as k union all select 1) where o_orderkey % 9 = 0", "uspto"))
 def patent_mentions(spark: SparkSession, d: str) -> DataFrame:
-    rows = _sql(spark, d, "select o_orderkey as patent_id, 'https://patents.example/' || cast(o_orderkey as string) as mention_link, date_format(o_orderdate, 'yyyyMMdd') as mention_date, array('10.5555/ds.' || cast((o_custkey * 3) % 2000 as string)) as doi, array('10.5555/ds.' || cast((o_custkey * 3 + 1) % 2000 as string)) as emdb_id from {orders} where o_orderkey % 9 = 0", "orders")
+    rows = _sql(spark, d, "select o_orderkey as patent_id, 'https://patents.example/' || cast(o_orderkey as string) as mention_link, date_format(o_orderdate, 'yyyyMMdd') as mention_date, array('10.5555/ds.' || cast((o_custkey * 3) % 2000 as string)) as doi, array('10.5555/ds.' || cast((o_custkey * 3 + 1) % 2000 as string)) as emdb_id from {orders}", "orders")
     return _flat(harvests.patent_mentions(rows, view(spark, d, "v_metadata"), TODAY))
 
 
 @query(_mention_sql("select '10.5555/ds.' || cast(o_custkey % 2000 as varchar) as key, 'https://models.example/' || cast(o_orderkey % 500 as varchar) as mention_link, case when o_orderkey % 4 = 0 then null else cast(cast(o_orderdate as date) as varchar) || 'T10:00:00+00:00' end as iso, case when o_orderkey % 4 = 0 then null else cast(year(o_orderdate) as int) end as y from orders where o_orderkey % 5 = 0", "hf"))
 def model_card_mentions(spark: SparkSession, d: str) -> DataFrame:
-    rows = _sql(spark, d, "select 'https://models.example/' || cast(o_orderkey % 500 as string) as url, case when o_orderkey % 4 = 0 then null else date_format(o_orderdate, 'yyyy-MM-dd') || 'T10:00:00Z' end as created_at, array(named_struct('id', 'https://doi.org/10.5555/DS.' || cast(o_custkey % 2000 as string)), named_struct('id', cast(null as string))) as references from {orders} where o_orderkey % 5 = 0", "orders")
+    rows = _sql(spark, d, "select 'https://models.example/' || cast(o_orderkey % 500 as string) as url, case when o_orderkey % 4 = 0 then null else date_format(o_orderdate, 'yyyy-MM-dd') || 'T10:00:00Z' end as created_at, array(named_struct('id', 'https://doi.org/10.5555/DS.' || cast(o_custkey % 2000 as string)), named_struct('id', cast(null as string))) as references from {orders}", "orders")
     return _flat(harvests.model_card_mentions(rows, view(spark, d, "v_metadata"), TODAY))
 
 
 @query(_mention_sql("select '10.5555/ds.' || cast(o_custkey % 2000 as varchar) as key, 'https://code.example/' || cast(o_orderkey as varchar) as mention_link, cast(cast(o_orderdate as date) as varchar) || 'T00:00:00' as iso, cast(year(o_orderdate) as int) as y from orders where o_orderkey % 6 = 1", "swh"))
 def archive_mentions(spark: SparkSession, d: str) -> DataFrame:
-    rows = _sql(spark, d, "select '10.5555/DS.' || cast(o_custkey % 2000 as string) as dataset_id, 'https://code.example/' || cast(o_orderkey as string) as mention_link, date_format(o_orderdate, 'yyyy-MM-dd') as mention_date, 'swh' as source from {orders} where o_orderkey % 6 = 1", "orders")
+    rows = _sql(spark, d, "select '10.5555/DS.' || cast(o_custkey % 2000 as string) as dataset_id, 'https://code.example/' || cast(o_orderkey as string) as mention_link, date_format(o_orderdate, 'yyyy-MM-dd') as mention_date, 'swh' as source from {orders}", "orders")
     return _flat(harvests.archive_mentions(rows, view(spark, d, "v_metadata"), TODAY))
 
 

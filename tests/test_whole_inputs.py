@@ -22,3 +22,14 @@ def test_readmes_of_large_keys_are_read(spark, tables):
     got = {r.p_partkey: (r.dois, r.emdb) for r in catalog.QUERIES["readme_mentions"](spark, d).collect()}
     dois = lambda k: f"10.5555/(DS){k} 10.5555/b.{k} 10.5555/c{k}"
     assert got == {5: (dois(5), "EMD-10005"), 89999: (dois(89999), "EMD-99999"), 90000: (dois(90000), "EMD-10000"), 250007: (dois(250007), "EMD-80007")}
+
+
+PARTS = "select explode(sequence(0, 9)) as p_partkey, 'name' as p_name, 'brand' as p_brand"
+
+
+@pytest.mark.parametrize("name,links,per_order", [("patent_mentions", "https://patents.example/", 2), ("model_card_mentions", "https://models.example/", 1), ("archive_mentions", "https://code.example/", 1)])
+def test_mentions_come_from_every_order(spark, tables, name, links, per_order):
+    d = tables(part=PARTS, orders="select explode(sequence(1, 40)) as o_orderkey, 1 as o_custkey, timestamp'1996-03-05 00:00:00' as o_orderdate")
+    got = sorted((r.mention_link, r.dataset_id) for r in catalog.QUERIES[name](spark, d).collect())
+    datasets = ["10.5555/ds.3", "10.5555/ds.4"] if per_order == 2 else ["10.5555/ds.1"]
+    assert got == sorted((f"{links}{k}", i) for k in range(1, 41) for i in datasets)
