@@ -33,3 +33,14 @@ def test_mentions_come_from_every_order(spark, tables, name, links, per_order):
     got = sorted((r.mention_link, r.dataset_id) for r in catalog.QUERIES[name](spark, d).collect())
     datasets = ["10.5555/ds.3", "10.5555/ds.4"] if per_order == 2 else ["10.5555/ds.1"]
     assert got == sorted((f"{links}{k}", i) for k in range(1, 41) for i in datasets)
+
+
+def test_blocks_hold_every_line(spark, tables):
+    d = tables(
+        lineitem="select 1 as l_partkey, k as l_suppkey, k as l_orderkey, 1 + k % 5 as l_linenumber from (select explode(sequence(1, 8)) as k)",
+        orders="select 1 as o_orderkey, 1 as o_custkey, timestamp'1996-03-05 00:00:00' as o_orderdate",
+    )
+    run = lambda name: catalog.QUERIES[name](spark, d).collect()
+    assert {r.doi for r in run("cited_dois")} == {f"10.5555/pub.{k}" for k in (1, 2, 3, 5, 6, 7, 8)}
+    assert {(r.dataset_id, r.citation_link) for r in run("block_citations")} == {("10.5555/ds.1", f"https://doi.org/10.5555/pub.{k}") for k in (1, 2, 3, 5, 6, 7, 8)} | {("10.5555/ds.1", "x:4")}
+    assert [(r.dataset_id, r.dois) for r in run("new_block_links")] == [("10.5555/ds.1", "10.5555/PUB.1 10.5555/PUB.3 10.5555/PUB.5 10.5555/PUB.7")]
