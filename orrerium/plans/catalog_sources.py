@@ -252,7 +252,7 @@ def slim_records(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_views(last="""select d.dataset_id, coalesce(s.score, 42.31) as score, s.score is null as extrapolated from v_metadata d left join (select dataset_id, score from (select *, row_number() over (partition by dataset_id order by seq desc) as r from (select dataset_id, max(score) as score, seq from v_scores_seq group by dataset_id, seq)) where r = 1) s on s.dataset_id = d.dataset_id"""))
 def fair_extrapolated(spark: SparkSession, d: str) -> DataFrame:
-    scores = view(spark, d, "v_scores_seq").groupBy("dataset_id", "seq").agg(F.max("score").alias("score"))
+    scores = view(spark, d, "v_scores_all").groupBy("dataset_id", "seq").agg(F.max("score").alias("score"))
     return evidence.extrapolated_fair(view(spark, d, "v_metadata"), scores)
 
 
@@ -352,4 +352,4 @@ def norm_lookup(spark: SparkSession, d: str) -> DataFrame:
 def asof_events(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     b = e.filter("event_id % 5 = 1").groupBy(F.col("user_id").alias("bu"), F.col("ts").alias("bt")).agg(F.max("value").alias("bv"))
-    return asof_left_join(e.filter("event_id % 2 = 0").select("event_id", "user_id", "ts"), b, "user_id", "ts", "bu", "bt").select("event_id", "user_id", "bt", "bv")
+    return asof_left_join(e.select("event_id", "user_id", "ts"), b, "user_id", "ts", "bu", "bt").select("event_id", "user_id", "bt", "bv")

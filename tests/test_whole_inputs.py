@@ -44,3 +44,18 @@ def test_blocks_hold_every_line(spark, tables):
     assert {r.doi for r in run("cited_dois")} == {f"10.5555/pub.{k}" for k in (1, 2, 3, 5, 6, 7, 8)}
     assert {(r.dataset_id, r.citation_link) for r in run("block_citations")} == {("10.5555/ds.1", f"https://doi.org/10.5555/pub.{k}") for k in (1, 2, 3, 5, 6, 7, 8)} | {("10.5555/ds.1", "x:4")}
     assert [(r.dataset_id, r.dois) for r in run("new_block_links")] == [("10.5555/ds.1", "10.5555/PUB.1 10.5555/PUB.3 10.5555/PUB.5 10.5555/PUB.7")]
+
+
+def test_every_dataset_gets_its_last_score(spark, tables):
+    d = tables(
+        part="select explode(sequence(1, 120)) as p_partkey, 'name' as p_name, 'brand' as p_brand",
+        lineitem="select k as l_partkey, 1 as l_suppkey, o as l_orderkey, 1 as l_linenumber, cast(k % 90 + o as double) as l_extendedprice, 1.0 as l_quantity from (select explode(sequence(1, 110)) as k) cross join (select explode(array(1, 2)) as o)",
+    )
+    got = {r.dataset_id: (r.score, r.extrapolated) for r in catalog.QUERIES["fair_extrapolated"](spark, d).collect()}
+    assert got == {f"10.5555/ds.{k}": (float(k % 90 + 2), False) if k <= 110 else (42.31, True) for k in range(1, 121)}
+
+
+def test_asof_matches_every_event(spark, tables):
+    d = tables(events="select id as event_id, 1 as user_id, timestamp_seconds(id) as ts, cast(id as double) as value from range(1, 11)")
+    got = {r.event_id: r.bv for r in catalog.QUERIES["asof_events"](spark, d).collect()}
+    assert got == {k: 1.0 if k < 6 else 6.0 for k in range(1, 11)}
