@@ -2,7 +2,9 @@
 
 Texts that are equal form an indivisible group. Groups, sorted by size, enter the bin with the least remaining capacity
 that still holds them, found in a balanced tree of remaining capacities; with a fixed capacity that keeps the number of
-bins low. For a fixed number of bins the capacity is searched for: the least, to a tolerance, with which all fits.
+bins low. For a fixed number of bins, groups above the mean of what is left get a bin each, and for the others the
+capacity is searched for: the least, to a tolerance, with which all fits the bins left. A bin that this leaves empty takes
+half of the fullest.
 
 At scale the packing never sees all groups. A group smaller than a fixed share of a bin joins one of a fixed number of
 bundles by its hash, and a bundle is packed as one item. So the packer gets at most shares * bins large groups and the
@@ -130,7 +132,7 @@ def pack(items: list[tuple[int, object]], capacity: int) -> tuple[dict, list[int
     return place, loads
 
 
-def pack_into(items: list[tuple[int, object]], n_bins: int) -> tuple[dict, list[int]]:
+def _least(items: list[tuple[int, object]], n_bins: int) -> tuple[dict, list[int]]:
     """The least capacity, to one part in a few thousand, with which best-fit-decreasing needs at most n_bins."""
     total = sum(size for size, _ in items)
     low = -(-total // n_bins)
@@ -153,6 +155,38 @@ def pack_into(items: list[tuple[int, object]], n_bins: int) -> tuple[dict, list[
     return best
 
 
+def _spread(items: list[tuple[int, object]], place: dict, loads: list[int], n_bins: int) -> None:
+    """Each bin that is still empty takes about half of the fullest bin that holds more than one item."""
+    held: dict[int, list] = {}
+    for size, name in items:
+        held.setdefault(place[name], []).append((size, name))
+    while len(loads) < min(n_bins, len(items)):
+        full, new = max((b for b in held if len(held[b]) > 1), key=lambda b: (loads[b], -b)), len(loads)
+        both = held[full]
+        loads[full], held[full], held[new] = 0, [], []
+        loads.append(0)
+        for size, name in both:  # largest first
+            bin_ = full if loads[full] <= loads[new] else new
+            place[name] = bin_
+            loads[bin_] += size
+            held[bin_].append((size, name))
+
+
+def pack_into(items: list[tuple[int, object]], n_bins: int) -> tuple[dict, list[int]]:
+    """Near equal loads in at most n_bins. An item above the mean of what is left gets a bin of its own, repeatedly; the
+    others are packed into the bins left, of which none stays empty while there are items enough."""
+    items = sorted(items, key=lambda x: (-x[0], x[1]))
+    alone, rest = 0, sum(size for size, _ in items)
+    while alone < min(len(items), n_bins - 1) and items[alone][0] * (n_bins - alone) > rest:
+        rest -= items[alone][0]
+        alone += 1
+    others = items[alone:]
+    place, loads = _least(others, n_bins - alone)
+    _spread(others, place, loads, n_bins - alone)
+    own = {name: bin_ for bin_, (_, name) in enumerate(items[:alone])}
+    return own | {name: alone + bin_ for name, bin_ in place.items()}, [size for size, _ in items[:alone]] + loads
+
+
 def _sized(docs: DataFrame, carry: list[str]) -> DataFrame:
     text = F.col("text").cast("string")
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long")
