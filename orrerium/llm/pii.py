@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "login")
 
-#: Schemes that may carry a login, and words that announce an account.
+#: Schemes, in either case, that may carry a login, and words that announce an account.
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "postgres://", "mysql://", "mongodb://", "redis://", "amqp://")
+LONGEST = max(map(len, SCHEMES))
 CUES = ("iban", "account", "acct", "ssn", "konto", "compte", "cuenta")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -40,7 +41,8 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"[\s:#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 SSN = re.compile(r"[\s:#.]{0,4}(?!000|666|9)([0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
 ACCOUNT = re.compile(r"(?: ?(?:no|nr|number|num)\b)?[\s:#.]{1,4}([0-9]{6,17})(?![0-9A-Za-z])")
-LOGIN = re.compile(r"([^\s:/@]{1,256}:[^\s:/@]{1,256})@[A-Za-z0-9]")
+#: Neither run crosses the colon of the next scheme, so that no text is scanned again from anchor to anchor.
+LOGIN = re.compile(r"([^\s:/@]++:[^\s:/@]++)@[A-Za-z0-9]")
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -49,8 +51,7 @@ def _automaton() -> ahocorasick.Automaton:
         out.add_word(sign, (sign, 1))
     for digit in DIGITS:
         out.add_word(digit, ("0", 1))
-    for scheme in SCHEMES:
-        out.add_word(scheme, ("://", len(scheme)))
+    out.add_word("://", ("://", 3))
     for cue in CUES:
         for written in (cue, cue.upper(), cue.capitalize()):
             out.add_word(written, (cue, len(written)))
@@ -110,7 +111,7 @@ def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
             if (m := PHONE.match(text, at)) and 9 <= len(only_digits(m[0])) <= 15:
                 found.append((3, at, m.end()))
         elif anchor == "://":
-            if m := LOGIN.match(text, last + 1):
+            if text[max(0, last + 1 - LONGEST) : last + 1].lower().endswith(SCHEMES) and (m := LOGIN.match(text, last + 1)):
                 found.append((5, m.start(1), m.end(1)))
         elif last + 1 >= account_from and not (at and text[at - 1].isalnum()):
             m = IBAN.match(text, last + 1) if anchor == "iban" else SSN.match(text, last + 1) if anchor == "ssn" else ACCOUNT.match(text, last + 1)
