@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -33,7 +34,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-BLOB = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Hex in either case, and how keys begin in it: a sequence, or OpenSSH's magic.
+ANY_HEX = re.compile(r"[0-9A-Fa-f]{24,}")
+HEX_STARTS = ("30", b"openssh-key-v1\0".hex())
+#: Base64 on one line or on consecutive ones, its lines, and where a key may begin in it.
+BLOCK = re.compile(r"[A-Za-z0-9+/_-]{40,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+START = re.compile(r"(?<![A-Za-z0-9])(?:M|b3Bl)")
 
 
 def decoded(text: str) -> bytes:
@@ -100,6 +107,61 @@ def private_key(data: bytes) -> bool:
     return False
 
 
+def claimed(line: str, at: int) -> int | None:
+    """Characters of base64 that the key from `at` on claims by its length fields; None if nothing there begins like one."""
+
+    def bytes_at(place: int, n: int) -> bytes:
+        return decoded(line[at + place // 3 * 4 : at + (place + n + 2) // 3 * 4])[place % 3 :][:n]
+
+    if line.startswith("b3BlbnNzaC1rZXktdjEA", at):
+        size, fields = 15, 3  # cipher, key derivation and its options; then the public keys and the private part
+        while fields:
+            size += 4 + int.from_bytes(bytes_at(size, 4), "big")
+            fields -= 1
+        n = int.from_bytes(bytes_at(size, 4), "big")
+        if not 1 <= n <= 16:
+            return None
+        size += 4
+        for _ in range(n + 1):
+            size += 4 + int.from_bytes(bytes_at(size, 4), "big")
+    else:
+        head = bytes_at(0, 6)
+        if len(head) < 6 or head[0] != SEQUENCE:
+            return None
+        long = head[1] & 0x7F if head[1] >= 0x80 else 0
+        if head[1] >= 0x80 and not 1 <= long <= 4:
+            return None
+        size = 2 + long + (int.from_bytes(head[2 : 2 + long], "big") if long else head[1])
+    return (size * 4 + 2) // 3
+
+
+def encoded_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of keys in base64. A key ends where a line does; it may go over several, and begin after a sign in a line."""
+    for m in BLOCK.finditer(text):
+        lines = [x.span() for x in LINE.finditer(m[0])]
+        whole = "".join(m[0][a:b] for a, b in lines)
+        begins = [0]  # of each line, in `whole`
+        for a, b in lines:
+            begins.append(begins[-1] + b - a)
+        low = 0
+        for s in START.finditer(m[0]):
+            if s.start() < low:
+                continue
+            own = bisect.bisect_right(lines, (s.start(), len(text))) - 1
+            at = begins[own] + s.start() - lines[own][0]
+            size = claimed(whole, at)
+            ends = [] if size is None else [at + size]
+            if ends and s[0] != "M":
+                ends.append(begins[own + 1])  # OpenSSH's format may be followed by more on its line
+            for end in ends:
+                last = bisect.bisect_left(begins, end)
+                if end <= at or last == len(begins) or begins[last] != end or not private_key(decoded(whole[at:end])):
+                    continue
+                low = lines[last - 1][1]
+                yield m.start() + s.start(), m.end() if last == len(lines) else m.start() + low
+                break
+
+
 def signed_token(text: str) -> bool:
     header, payload, _ = text.split(".")
     try:
@@ -138,7 +200,8 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     for m in HEX.finditer(text):
         found.append((m.start(), 2, m.end()))
-        if m[0].startswith("30") and len(m[0]) % 2 == 0 and private_key(bytes.fromhex(m[0])):
+    for m in (*HEX.finditer(text), *ANY_HEX.finditer(text)):  # a lower-case run may lie within a longer one
+        if len(m[0]) % 2 == 0 and m[0][:30].lower().startswith(HEX_STARTS) and private_key(bytes.fromhex(m[0])):
             found.append((m.start(), 5, m.end()))
     if "eyJ" in text:
         found += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if signed_token(m[0])]
@@ -148,9 +211,7 @@ def scan(text: str) -> list[tuple[int, int, int]]:
             if private_key(decoded(m[2])):
                 found.append((m.start(), 4, m.end()))
                 taken.append(m.span())
-    for m in BLOB.finditer(text):
-        if m[0][0] in "Mb" and not any(a <= m.start() < b for a, b in taken) and private_key(decoded(m[0])):
-            found.append((m.start(), 5, m.end()))
+    found += [(start, 5, end) for start, end in encoded_keys(text) if not any(a <= start < b for a, b in taken)]
     return sorted(set(found))
 
 
