@@ -7,14 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Every contract here counts words as runs of anything but these ASCII blanks.
 BLANK = r"[ \t\n\x0B\f\r]"
 #: Groups up to which a row for each of them is sent to every task.
 FEW_GROUPS = 10_000
+#: A key with more than one of so many parts of all rows is joined where its rows lie.
+HOT_KEYS = 1000
+#: Copies of a row that one task writes at most before they are dealt.
+COPIES = 10_000
 #: Bytes of text that a vectorised step holds at once; one longer text is a batch of its own.
 BATCH_BYTES = 1 << 20
 
@@ -24,11 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that the session names; a local one is made only where none is named, as in tests."""
+    """The folder for checkpoints that the session names. Where none is named, a local one serves a local session only."""
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="orrerium-checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="orrerium-checkpoint-"))
+    return named or context.getCheckpointDir()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -42,22 +48,69 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of rows with facts (one row for each key, with `n`, the number of its rows), whatever share a key holds.
+
+    Fewer than HOT_KEYS keys can hold more than total / HOT_KEYS of all rows. Their facts are sent to the rows, which stay
+    where they lie; the other keys are shuffled.
+    """
+    hot = facts.filter(F.col("n") > max(total / HOT_KEYS, 256))
+    cold = facts.filter(F.col("n") <= max(total / HOT_KEYS, 256))
+    here = rows.join(F.broadcast(hot), key)
+    return here.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as its column `times` says, numbered from 0 in `copy`; what repeats very often is dealt over tasks."""
+    few = df.filter(F.col(times).between(1, COPIES)).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1)))
+    many = df.filter(F.col(times) > COPIES).withColumn("__lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / COPIES)))).repartition("__lot")
+    first = F.col("__lot") * COPIES
+    many = many.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES, times) - 1))).drop("__lot")
+    return few.unionByName(many)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """A hash of all columns of a row; rows that are equal in all of them agree."""
+    plain = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.xxhash64(*plain)
+
+
+def _level(sizes: dict[int, int], most: int) -> float:
+    """What each group gives so that all give `most` together; sizes: number of groups of each size."""
+    left, groups = float(most), sum(sizes.values())
+    for size in sorted(sizes):
+        if left <= size * groups:
+            break
+        left -= size * sizes[size]
+        groups -= sizes[size]
+    return left / groups if groups else float(most)
+
+
 def balanced_sample(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
-    """At most `most` rows with the columns (group, key), dealt evenly over the groups as far as they reach, by a hash of the key.
+    """At most `most` rows, dealt evenly over the groups as far as they reach, by a hash of the key (distinct in a group).
 
-    Each group is first thinned by that hash to about twice what it can give, from counts that are summed where rows lie;
-    so no group is sorted whole in one task.
+    Small groups stay whole; of a larger one those rows stay whose hash is below the share that it may give. So no group is
+    sorted or gathered anywhere; only a histogram of group sizes, of at most `most` rows, is read.
     """
-    hashed = rows.select(group, key, F.xxhash64(key).alias("__h"))
+    hashed = rows.withColumn("__h", F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 40)) / float(1 << 40))
     sizes = checkpoint(hashed.groupBy(group).agg(F.count("*").alias("__n")))
+    histogram = sizes.groupBy(F.least("__n", F.lit(most)).alias("size")).count().collect()
+    level = _level({r["size"]: r["count"] for r in histogram}, most)
+    sizes = sizes.withColumn("__rate", F.least(F.lit(1.0), F.lit(level) / F.col("__n"))).drop("__n")
     # Sent out whole while groups are few, so that rows are thinned where they lie and not after a shuffle by group.
-    sizes = F.broadcast(sizes) if sizes.count() <= FEW_GROUPS else sizes
-    # All of a group under twice the quota stays; of a larger one the expected number is twice the quota.
-    rate = F.least(F.lit(1.0), F.lit(2.0 * most) / F.col("__n"))
-    share = F.pmod(F.col("__h"), F.lit(1 << 30)) / float(1 << 30)
-    thin = hashed.join(sizes, group).filter(share <= rate)
-    place = F.row_number().over(Window.partitionBy(group).orderBy("__h", key))
-    return thin.withColumn("__p", place).filter(F.col("__p") <= most).orderBy("__p", group).limit(most).select(group, key)
+    sizes = F.broadcast(sizes) if sum(r["count"] for r in histogram) <= FEW_GROUPS else sizes
+    thin = hashed.join(sizes, group).filter(F.col("__h") < F.col("__rate"))
+    return thin.orderBy(F.col("__h") / F.col("__rate"), key, group).limit(most).drop("__h", "__rate")
+
+
+def whole_within(rows: list, size, most: int) -> list:
+    """The rows, in their order, as far as their sizes add up to at most `most`; one that doesn't fit is left out whole."""
+    out, total = [], 0
+    for row in rows:
+        if total + size(row) <= most:
+            total += size(row)
+            out.append(row)
+    return out
 
 
 def text_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -131,14 +184,20 @@ FOLD[ord("A") : ord("Z") + 1] += 32
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word (ASCII letters folded to lower case), in order, and each text's first word, with the end.
+    """Hash of each word (ASCII letters folded to lower case), in order, and each text's first word, with the end."""
+    hashes, starts = placed_words(data, offsets, is_word)
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def placed_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word, in order, and the byte at which it starts.
 
     The work is over the bytes of many texts at once. Words hash by a polynomial over random byte values, so that
     equal words have equal hashes wherever they stand.
     """
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     size = 1 << max(20, (n - 1).bit_length())
     if size not in _POW:
         _POW.clear()
@@ -160,7 +219,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tupl
     np.cumsum(_BYTE[FOLD[data]] * power[:n], out=total[1:])
     hashes = (total[ends] - total[starts]) * inverse[starts]
     hashes = mix64(hashes + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    return hashes, starts
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:

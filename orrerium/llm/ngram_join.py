@@ -10,7 +10,7 @@
 
 The number of links is that of other documents (copies included) whose similarity is at least the threshold; a class is
 a connected component of links, named by its least doc_id. A bucket or class of any size is dealt over tasks by blocks of
-a fixed number of nodes. Bands miss a pair at the threshold with a probability of (1 - 0.8**4)**32, about 5e-8.
+a bounded number of nodes, and of bytes where texts are long. Bands miss a pair at the threshold with a probability of (1 - 0.8**4)**32, about 5e-8.
 
 Defined cases: a text of fewer than five words is one shingle; a text without words (null, empty, blank) has no links and
 is a class of its own, as is its doc_id. Rows that repeat count as copies. Null ids sort last when a class is named.
@@ -25,9 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import BLANK, byte_table, checkpoint, grams, text_batches, words_of
+from .common import BLANK, byte_table, checkpoint, grams, spread_join, text_batches, words_of
 from .components import components
 
 SHINGLE = 5
@@ -36,8 +35,8 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 STEP = 16
 TOLERANCE = 1e-9
-#: Nodes in a block: of MinHash values, and of whole texts.
-SIGN_BLOCK, TEXT_BLOCK = 1024, 256
+#: Nodes in a block of MinHash values; and of whole texts, where a text of over TEXT_SHARE bytes counts as several.
+SIGN_BLOCK, TEXT_BLOCK, TEXT_SHARE = 1024, 256, 1 << 15
 #: Pairs that a task compares at once.
 AT_ONCE = 1 << 18
 
@@ -93,18 +92,19 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = pa.array(np.concatenate(signs) if signs else np.zeros(0, np.int64))
         sign = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), flat)
         rows = pa.array(kept, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), sign], names=["digest", "doc_id", "sign"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), batch.column(3).take(rows), sign], names=["digest", "doc_id", "weight", "sign"])
 
 
 def nodes_of(docs: DataFrame) -> DataFrame:
-    """One row for each distinct text with a word: node, digest, doc_id (its least), copies, sign."""
-    rows = docs.select(_row_key("text").alias("digest"), "doc_id", "text")
-    signed = rows.mapInArrow(_signed, f"digest binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, sign array<bigint>")
-    folded = signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("sign").alias("sign"))
+    """One row for each distinct text with a word: node, digest, doc_id (its least), copies, weight (shares of a block), sign."""
+    weight = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / TEXT_SHARE)).cast("long")
+    rows = docs.select(_row_key("text").alias("digest"), "doc_id", "text", weight.alias("weight"))
+    signed = rows.mapInArrow(_signed, f"digest binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, weight bigint, sign array<bigint>")
+    folded = signed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("weight").alias("weight"), F.first("sign").alias("sign"))
     return checkpoint(folded.withColumn("node", F.monotonically_increasing_id()))
 
 
-def _dealt(df: DataFrame, key: str, size: str, block: int) -> DataFrame:
+def _dealt(df: DataFrame, size: str, block: int) -> DataFrame:
     """Each row once for every pair of blocks (lo, hi) of its group that holds its own block."""
     df = df.withColumn("n_blocks", F.ceil(F.col(size) / block).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     return df.withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)"))).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other", "n_blocks")
@@ -197,8 +197,9 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all nodes of which some bucket holds a pair that pruning leaves."""
     buckets = nodes.select("node", F.posexplode("sign").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = buckets.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1")
-    dealt = _dealt(shared, "bucket", "size", SIGN_BLOCK).join(nodes.select("node", "sign"), "node")
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = spread_join(buckets, sizes, "bucket", nodes.count() * BANDS)
+    dealt = _dealt(shared, "n", SIGN_BLOCK).join(nodes.select("node", "sign"), "node")
     dealt = dealt.select("bucket", "lo", "hi", "block", "node", "sign").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
     return dealt.mapInArrow(_pruned, "a long, b long")
 
@@ -230,7 +231,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo, hi, block, node, copies = (table.column(i).to_numpy() for i in range(1, 6))
         texts = table.column(6)
         for start, end in zip(bounds[:-1], bounds[1:]):
-            rows = start + np.unique(node[start:end], return_index=True)[1]  # rows that repeat give a node twice
+            rows = np.arange(start, end)
             if len(rows) < 2:
                 continue
             sets = []
@@ -248,27 +249,35 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """digest, doc_id (its least), root (one number for each class), class_id and n_links for each distinct text with a word."""
+    """digest, doc_id (its least), copies, root (one number for each class), class_id and n_links for each distinct text with a word."""
     nodes = nodes_of(docs)
-    near = components(candidates(nodes)).join(nodes.select("node", "digest", "doc_id", "copies"), "node")
-    near = near.withColumn("size", F.count("*").over(Window.partitionBy("root")))
-    texts = docs.select(F.col("doc_id").alias("own_id"), _row_key("text").alias("own"), "text")
-    whole = near.join(texts, (F.col("digest") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
-    dealt = _dealt(whole, "root", "size", TEXT_BLOCK).select(F.col("root").alias("part"), "lo", "hi", "block", "node", "copies", "text")
+    near = checkpoint(components(candidates(nodes)).join(nodes.select("node", "digest", "doc_id", "copies", "weight"), "node"))
+    sizes = near.groupBy("root").agg(F.count("*").alias("n"), F.sum("weight").alias("size"))
+    near = spread_join(near, sizes, "root", near.count())
+    # Copies fold before they are shuffled, so that a text comes once however often it occurs.
+    texts = docs.groupBy(_row_key("text").alias("digest")).agg(F.first("text").alias("text"))
+    whole = near.join(texts, "digest")
+    dealt = _dealt(whole, "size", TEXT_BLOCK).select(F.col("root").alias("part"), "lo", "hi", "block", "node", "copies", "text")
     found = checkpoint(dealt.repartition("part", "lo", "hi").sortWithinPartitions("part", "lo", "hi").mapInArrow(_verified, "node long, links long, root long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     every = nodes.select("node", "digest", "doc_id", "copies").join(links, "node", "left").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = every.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return every.join(named, "root").select("digest", "doc_id", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return every.join(named, "root").select("digest", "doc_id", "copies", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+
+
+def _has_word(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(f"[^{BLANK[1:]}"), F.lit(False))
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and n_links, a row for each row of the input."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = docs.select("doc_id", _row_key("text").alias("digest"))
-    out = rows.join(classes(docs).drop("doc_id"), "digest", "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    rows = docs.filter(_has_word("text")).select("doc_id", _row_key("text").alias("digest"))
+    facts = checkpoint(classes(docs).select("digest", "class_id", "n_links", F.col("copies").alias("n")))
+    total = facts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = spread_join(rows, facts, "digest", total).select("doc_id", "class_id", "n_links")
+    return out.unionAll(docs.filter(~_has_word("text")).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -283,7 +292,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     times = keyed.select(F.col("doc_id").alias("__id"), _row_key("text").alias("__key")).groupBy("__id", "__key").agg(F.count("*").alias("times"))
     first = first.join(times, (F.col("digest") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))).select(F.col("root").alias("__root"), F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "times")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"))
-    has_word = F.coalesce(F.col("text").rlike(f"[^{BLANK[1:]}"), F.lit(False))
+    has_word = _has_word("text")
     kept = rows.filter(has_word).select("row", F.col("row.doc_id").alias("doc_id"), _row_key("text").alias("key"))
     kept = kept.join(first, (F.col("key") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__id")))
     once = kept.filter("times > 1").dropDuplicates(["__root"])
