@@ -46,9 +46,11 @@ def _ancestors(nodes: DataFrame) -> list[DataFrame]:
     step = checkpoint(step.join(known, ["conv", "up"]).select("conv", "node", "up", "score"))
     out = [step]
     longest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
-    while 2 ** len(out) < longest and not step.isEmpty():
+    while 2 ** len(out) < longest:
         upper = step.select("conv", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"))
         step = checkpoint(step.join(upper, ["conv", "up"]).select("conv", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score")))
+        if step.isEmpty():
+            break
         out.append(step)
     return out
 
@@ -68,7 +70,8 @@ def paths(tree: DataFrame, best: int = 1) -> DataFrame:
     for k in reversed(range(len(tables))):
         up = tables[k].select("conv", "node", "up", F.col("score").alias("more"))
         at = at.join(up, ["conv", "node"], "left").select("conv", "leaf", F.coalesce("up", "node").alias("node"), (F.col("passed") + F.coalesce("more", F.lit(0.0))).alias("passed"), (F.col("depth") + F.when(F.col("up").isNotNull(), 2**k).otherwise(0)).alias("depth"))
-    root = nodes.select("conv", "node", F.col("score").alias("own"))
+    # Whoever climbed from below a cycle still stands in it; only nodes without a known parent are roots.
+    root = nodes.join(tables[0].select("conv", "node"), ["conv", "node"], "left_anti").select("conv", "node", F.col("score").alias("own"))
     scored = at.join(root, ["conv", "node"]).select("conv", "leaf", (F.col("passed") + F.col("own")).alias("path_score"), "depth")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("path_score"), "leaf"))
     chosen = checkpoint(scored.withColumn("rank", rank).filter(F.col("rank") <= best))

@@ -52,7 +52,7 @@ def test_trees_give_the_best_paths(spark):
         for n in range(40):
             nodes.append((conv, n, rng.randrange(n) if n else None, "user" if n % 2 else "assistant", f"t{n}", float(rng.randrange(10))))
     nodes += [(7, n, n - 1, "user", f"t{n}", 1.0) for n in range(200)]  # a chain; its first parent is missing
-    nodes += [(8, 0, 1, "user", "a", 1.0), (8, 1, 0, "user", "b", 1.0)]  # a cycle
+    nodes += [(8, 0, 1, "user", "a", 1.0), (8, 1, 0, "user", "b", 1.0), (8, 2, 0, "user", "c", 1.0), (8, 3, 2, "user", "d", 1.0)]  # leaf 3 hangs on a cycle
     nodes += [(9, 5, None, "user", "only", None), (9, 5, None, "user", "only", None)]
     got = c.formatted(c.paths(spark.createDataFrame(nodes, "conv long, node long, parent long, role string, text string, score double"), best=2))
     found = {(r.conv, r["rank"]): (r.leaf, r.path_score, r.n_turns, r.formatted) for r in got.collect()}
