@@ -11,7 +11,8 @@ document of each source and hands that one on; groups of leaves are combined lik
 random numbers depend on the rows only, so that reruns agree however the table is split.
 
 Defined cases: a null text has no words and is taken 0 times; the rows without a source are a source of their own, the
-last. Rows that repeat (equal source, id and text) are one unit and are taken equally often.
+last. Rows that repeat (equal source, id and text) are one unit: of n of them with a fraction p, the whole part of n * p is
+taken once more, and what is left of n * p is rounded like the fraction of a single row. A null id is not the id "None".
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BLANK, checkpoint
+from .common import BLANK, FEW_GROUPS, checkpoint, repeated, row_digest
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -34,25 +35,38 @@ LEAF_ROWS, FAN_IN = 1 << 14, 64
 SEED = 20240607
 
 
+def _numbered(sizes: DataFrame) -> DataFrame:
+    """The sources with `number`, their place in code point order from 0, null last; no task sees them all."""
+    spread = sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
+    spread = checkpoint(spread)
+    before, first = 0, []
+    for part, n in spread.groupBy("part").count().orderBy("part").collect():  # a row for each partition
+        first.append((part, before))
+        before += n
+    first = spread.sparkSession.createDataFrame(first, "part int, first long")
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    return spread.join(F.broadcast(first), "part").withColumn("number", F.col("first") + place - 1).drop("part", "first")
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size and target from source and source_size.
 
-    Sources in order of size over weight fill up first: with the first k full, the rest share what is left by weight.
-    The number of rows is that of sources.
+    Each round shares what full sources leave among the others by weight; those that then stand above MOST times their
+    size are full in the next. The level of a unit of weight only rises, so rounds end when no source fills up any more.
     """
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in WEIGHTS]), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(WEIGHTS) + 1).cast("int"))
-    df = sizes.withColumn("weight", weight).withColumn("most", F.col("source_size").cast("double") * MOST)
-    by = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    after = by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    df = df.withColumns({"total": F.sum(F.col("source_size").cast("double")).over(whole), "full": F.coalesce(F.sum("most").over(before), F.lit(0.0)), "rest": F.sum("weight").over(after)})
-    # The level a unit of weight gets if all before this source are full; it holds at the first source that doesn't fill up.
-    df = df.withColumns({"k": F.count(F.lit(1)).over(upto), "level": (F.col("total") - F.col("full")) / F.col("rest")})
-    df = df.withColumn("open", F.when(F.col("most") / F.col("weight") >= F.col("level"), F.struct("k", "level")))
-    df = df.withColumn("found", F.min("open").over(whole))
-    return df.select("source", "source_size", F.least(F.col("most"), F.col("weight") * F.coalesce(F.col("found.level"), F.lit(0.0))).alias("target"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in WEIGHTS]), (F.col("number") % len(WEIGHTS) + 1).cast("int"))
+    most = F.col("source_size").cast("double") * MOST
+    df = checkpoint(_numbered(sizes).withColumn("weight", weight).withColumn("most", most).drop("number"))
+    total = df.agg(F.sum(F.col("source_size").cast("double"))).first()[0] or 0.0
+    level = 0.0
+    while True:
+        full = F.col("most") <= F.col("weight") * level
+        taken, rest = df.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight")))).first()
+        new = (total - (taken or 0.0)) / rest if rest else level
+        if new <= level:
+            break
+        level = new
+    return df.select("source", "source_size", F.least("most", F.col("weight") * level).alias("target"))
 
 
 def _uniform(*key) -> float:
@@ -85,33 +99,39 @@ def pivot(rows: list[tuple], level: int) -> tuple[list[tuple], tuple | None]:
     return done, held
 
 
-UNIT = "node long, source string, doc string, sig long, rows long, size long, base long, p double, up long"
+UNIT = "node long, source string, doc string, sig long, rows long, size long, base long, more long, p double, up long"
 
 
 def _rounded(level: int, last: bool):
     def rounded(part: pa.Table) -> pa.Table:
-        units = part.to_pylist()
-        units.sort(key=lambda u: (-u["size"] * u["rows"], u["doc"] or "", u["sig"]))  # the last one held tends to be small
+        source, doc, sig, size = (part.column(c).to_pylist() for c in ("source", "doc", "sig", "size"))
+        p, up = part.column("p").to_pylist(), part.column("up").to_pylist()
         by_source: dict = {}
-        for unit in units:
-            by_source.setdefault(unit["source"], []).append(unit)
+        # Largest first, so that the last one held tends to be small.
+        for i in sorted(range(len(doc)), key=lambda i: (-size[i], doc[i] is None, doc[i] or "", sig[i])):
+            by_source.setdefault(source[i], []).append(i)
         for own in by_source.values():
-            named = {f"{u['doc']}/{u['sig']}": u for u in own}
-            done, held = pivot([(name, u["size"] * u["rows"], u["p"]) for name, u in named.items()], level)
-            for name, up in done:
-                named[name]["up"] = up
+            # A unit is named by all that tells it from others of its source; no text form folds two of them.
+            at = {(doc[i], sig[i], size[i]): i for i in own}
+            done, held = pivot([(name, size[i], p[i]) for name, i in at.items()], level)
+            for name, one_more in done:
+                up[at[name]] = one_more
             if held is not None:
-                unit = named[held[0]]
-                unit["p"] = held[2]
+                name, _, p[at[name]] = held
                 if last:
-                    unit["up"] = int(_uniform("last", held[0]) < held[2])
-        return pa.Table.from_pylist(units, schema=part.schema)
+                    up[at[name]] = int(_uniform("last", name) < held[2])
+        for name, cells in (("p", pa.array(p, pa.float64())), ("up", pa.array(up, pa.int64()))):
+            part = part.set_column(part.schema.get_field_index(name), name, cells)
+        return part
 
     return rounded
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """source, doc, sig, rows, size, source_size, target and copies of each distinct (source, doc_id, text)."""
+    """source, doc, sig, rows, size, source_size, target, base and more of each distinct (source, doc_id, text).
+
+    Each of the `rows` equal rows is taken `base` times, and `more` of them once more.
+    """
     text = F.col("text").cast("string")
     size = F.when(text.isNull(), 0).otherwise(F.size(F.array_remove(F.split(text, f"{BLANK}+"), ""))).cast("long")
     rows = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("string").alias("doc"), F.xxhash64(text).alias("sig"), size.alias("size"))
@@ -119,20 +139,20 @@ def units(docs: DataFrame) -> DataFrame:
     wanted = checkpoint(targets(each.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))))
     each = _with_target(each, wanted)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    # What differs from a whole number by rounding errors only is whole.
-    near = F.round(expected, 0)
-    expected = F.when(F.abs(expected - near) < 1e-9, near).otherwise(expected)
-    each = each.withColumn("expected", expected).withColumn("base", F.floor("expected").cast("long"))
-    each = each.withColumn("p", F.col("expected") - F.col("base"))
-    whole = each.filter("size = 0 or p <= 0").select("source", "doc", "sig", "rows", "size", F.when(F.col("size") > 0, F.col("base")).otherwise(F.lit(0)).cast("long").alias("copies"))
-    parts = [whole]
-    open_ = each.filter("size > 0 and p > 0")
+    each = each.withColumn("expected", F.when(F.col("size") > 0, expected).otherwise(0.0)).withColumn("base", F.floor(F.col("expected") + 1e-9).cast("long"))
+    # Of equal rows as many are taken once more as the fraction makes whole; only what then is left is rounded.
+    extra = (F.col("expected") - F.col("base")) * F.col("rows")
+    each = each.withColumn("extra", F.greatest(F.lit(0.0), extra)).withColumn("more", F.floor(F.col("extra") + 1e-9).cast("long"))
+    each = each.withColumn("p", F.col("extra") - F.col("more"))
+    columns = ["source", "doc", "sig", "rows", "size", "base"]
+    parts = [each.filter("p <= 1e-9").select(*columns, "more")]
+    open_ = each.filter("p > 1e-9")
     nodes = max(1, -(-open_.count() // LEAF_ROWS))
-    state = open_.select(F.pmod(F.xxhash64("doc", "sig"), F.lit(nodes)).cast("long").alias("node"), "source", "doc", "sig", "rows", "size", "base", "p", F.lit(None).cast("long").alias("up"))
+    state = open_.select(F.pmod(F.xxhash64("doc", "sig"), F.lit(nodes)).cast("long").alias("node"), *columns, "more", "p", F.lit(None).cast("long").alias("up"))
     keys, level = ["node"], 0
     while True:
         state = checkpoint(state.groupBy(*keys).applyInArrow(_rounded(level, nodes == 1), UNIT))
-        parts.append(state.filter("up is not null").select("source", "doc", "sig", "rows", "size", (F.col("base") + F.col("up")).alias("copies")))
+        parts.append(state.filter("up is not null").select(*columns, (F.col("more") + F.col("up")).alias("more")))
         if nodes == 1:
             break
         state = state.filter("up is null").withColumn("node", F.floor(F.col("node") / FAN_IN).cast("long"))
@@ -149,7 +169,7 @@ def units(docs: DataFrame) -> DataFrame:
 def _with_target(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """Joins the targets, sent out whole while sources are few and else dealt by source and a salt."""
     wanted = wanted.select(F.col("source").alias("__source"), "source_size", "target")
-    if wanted.count() <= 10_000:
+    if wanted.count() <= FEW_GROUPS:
         return df.join(F.broadcast(wanted), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     salts = 64
     wanted = wanted.withColumn("__of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -159,15 +179,28 @@ def _with_target(df: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of each row."""
-    out = units(docs).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    found = checkpoint(units(docs))
+    lots = F.array(F.struct((F.col("base") + 1).alias("copies"), F.col("more").alias("times")), F.struct(F.col("base").alias("copies"), (F.col("rows") - F.col("more")).alias("times")))
+    each = found.select("doc", "size", "source_size", "target", F.inline(lots))
+    out = repeated(each, "times")
     return out.select(F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document as often as the mix takes it."""
-    taken = units(docs).filter("copies > 0").select(F.col("source").alias("__s"), F.col("doc").alias("__d"), F.col("sig").alias("__t"), "copies")
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"), F.col("doc_id").cast("string").alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("sig")
-    )
-    kept = rows.join(taken, F.col("source").eqNullSafe(F.col("__s")) & F.col("doc").eqNullSafe(F.col("__d")) & (F.col("sig") == F.col("__t")))
-    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+    """Pipeline stage: every document as often as the mix takes it.
+
+    Rows that share source, id and text but differ elsewhere are kinds of one unit; they are taken in the order of a hash.
+    """
+    key = [F.col("source").cast("string").alias("source"), F.col("doc_id").cast("string").alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("sig")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_digest(docs).alias("kind"), *key)
+    # Equal rows fold before they are shuffled; only a unit's kinds, which differ, are put in order.
+    kinds = rows.groupBy("source", "doc", "sig", "kind").agg(F.first("row").alias("row"), F.count("*").alias("n"))
+    counts = checkpoint(rows.groupBy("source", "doc", "sig", "kind").agg(F.count("*").alias("n")))
+    before = F.sum("n").over(Window.partitionBy("source", "doc", "sig").orderBy("kind").rowsBetween(Window.unboundedPreceding, -1))
+    same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & F.col(f"{a}.doc").eqNullSafe(F.col(f"{b}.doc")) & (F.col(f"{a}.sig") == F.col(f"{b}.sig"))
+    placed = counts.withColumn("before", F.coalesce(before, F.lit(0))).alias("c").join(units(docs).alias("u"), same("c", "u"))
+    more = F.least(F.greatest(F.col("u.more") - F.col("c.before"), F.lit(0)), F.col("c.n"))
+    times = (F.col("u.base") * F.col("c.n") + more).alias("times")
+    placed = placed.select("c.source", "c.doc", "c.sig", F.col("c.kind").alias("own"), times).filter("times > 0")
+    kept = kinds.alias("k").join(placed.alias("p"), same("k", "p") & (F.col("k.kind") == F.col("p.own"))).select("row", "times")
+    return repeated(kept, "times").select("row.*")
