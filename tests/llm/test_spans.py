@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -107,6 +108,28 @@ def test_added_personal_data():
     assert "account" in found("ssn 123-45-6789") and "account" not in found("ssn 000-45-6789")
     assert "login" in found("at https://bob:hunter2@example.org/x")
     assert found("on account of this") == []
+    spans = lambda t, kind: [t[a:b] for k, a, b in pii.scan(t, AUTOMATON) if pii.KINDS[k] == kind]
+    for cue in ("IBAN: ", "iBan ", "Iban#", "é IBAN "):
+        for number in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"):
+            for after in ("", " BIC COBADEFFXXX", " EUR 50", ", 12", "."):
+                assert spans(f"{cue}{number}{after}", "account") == [number]
+    assert spans("IBAN DE8937040044053201300012", "account") == [] == spans("IBAN ZZ89370400440532013000", "account")
+    for address in ("2001:db8::8a2e:370:7334", "2001:DB8:85a3::", "fe80:1:2:3:4:5:6:7", "::ffff:12:192.0.2.1"):
+        for text in (address, f"at {address}, then", f"({address})", f"host {address} up"):
+            assert spans(text, "ipv6") == [address]
+    assert spans("host fe80:1:2:3:4:5:6:7: up", "ipv6") == ["fe80:1:2:3:4:5:6:7"]
+    for text in ("12:34:56", "std::vector", "a::b", "1:2:3:4:5:6:7:8:9", "x2001:db8::1:2", "::", "2001:db8::1:2g"):
+        assert spans(text, "ipv6") == []
+    assert spans("at 12 Old Mill Road, Springfield, IL 62704 today", "address") == ["12 Old Mill Road, Springfield, IL 62704"]
+    assert spans("221B Baker Street and 5 Elm Avenue, Apt 3", "address") == ["221B Baker Street", "5 Elm Avenue, Apt 3"]
+    assert spans("the road to 5 elms; 7 streets; Main Street", "address") == []
+
+
+@pytest.mark.parametrize("piece", ["1:", ":", "a:b", "iban DE", "12 Old Road", "street ", "@", "a@", "1.", "+1 ", "1 "])
+def test_personal_data_takes_linear_time(piece):
+    start = time.perf_counter()
+    pii.scan(piece * (2_000_000 // len(piece)), AUTOMATON)
+    assert time.perf_counter() - start < 20
 
 
 @pytest.mark.parametrize("module,base", [(pii, pii.BASE_KINDS), (secret_scan, secret_scan.BASE_KINDS)])
