@@ -1,13 +1,15 @@
 """Secrets by structural confirmation.
 
-Candidates come from patterns; those that claim a structure are decoded (base64, base64url or hex) and parsed: ASN.1
-key encodings whose nested lengths must fill their parents exactly, OpenSSH keys by their magic and length fields, and
-signed tokens whose header must be JSON that names an algorithm. Only what parses is added to the base spans, which stay
-as they are.
+Runs of hex digits and of base64 (over lines too) are decoded in every alignment, and each place of the bytes at which a
+key may begin is parsed: ASN.1 key encodings whose nested lengths must fill their parents exactly, and OpenSSH keys by
+their magic and length fields. A key so is found in either case of hex and wherever it stands within a run. Signed
+tokens must have a JSON header that names an algorithm and a JSON body. Only what parses is added to the base spans, which
+stay as they are. Every step takes time in proportion to the text.
 
 Spans are `kind:start:end` in code points, end exclusive, by start, then kind as listed in KINDS.
 
-Defined cases: a null or empty text has no spans; broken base64, wrong lengths and truncated structures add none.
+Defined cases: a null or empty text has no spans; broken base64, wrong lengths and truncated structures add none, but for
+an OpenSSH key whose header is whole: it reaches to the end of its line.
 """
 
 from __future__ import annotations
@@ -32,15 +34,18 @@ NAMED = re.compile(r"(?:password|passwd|secret|token|api_?key)\Z", re.ASCII | re
 VALUE = re.compile(r"\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-#: Hex in either case, and how keys begin in it: a sequence, or OpenSSH's magic.
+TOKEN = re.compile(r"[A-Za-z0-9_.-]+")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\[rn])++)-----END \1-----")
 ANY_HEX = re.compile(r"[0-9A-Fa-f]{24,}")
-HEX_STARTS = ("30", b"openssh-key-v1\0".hex())
-#: Base64 on one line or on consecutive ones, its lines, and where a key may begin in it.
+#: Base64 on one line or on consecutive ones, and its lines.
 BLOCK = re.compile(r"[A-Za-z0-9+/_-]{40,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
-START = re.compile(r"(?<![A-Za-z0-9])(?:M|b3Bl)")
+STANDARD = str.maketrans("-_", "+/")
+MAGIC = b"openssh-key-v1\0"
+#: How a key begins in bytes: OpenSSH's magic, or a sequence of which the first member is a version or a sequence.
+BEGINS = re.compile(rb"openssh-key-v1\0|\x30(?=(?:[\x0e-\x7f]|\x81.|\x82..|\x83...)(?:\x02\x01[\x00\x01]|\x30))", re.DOTALL)
+#: Members that a sequence of a private key has at most.
+MEMBERS = 12
 
 
 def decoded(text: str) -> bytes:
@@ -54,39 +59,55 @@ def decoded(text: str) -> bytes:
         return b""
 
 
-def parts(data: bytes) -> list[tuple[int, bytes]] | None:
-    """Tags and contents of ASN.1 DER values that fill the data exactly; None if they don't."""
-    out, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+def value_at(data, at: int) -> tuple[int, int, int] | None:
+    """Tag, start and end of the content of the ASN.1 DER value at a place; None if it doesn't lie within the data."""
+    if at + 2 > len(data):
+        return None
+    tag, size = data[at], data[at + 1]
+    at += 2
+    if size >= 0x80:
+        n = size & 0x7F
+        if not 1 <= n <= 4 or at + n > len(data):
             return None
-        tag, size = data[at], data[at + 1]
-        at += 2
-        if size >= 0x80:
-            n = size & 0x7F
-            if not 1 <= n <= 4 or at + n > len(data):
-                return None
-            size = int.from_bytes(data[at : at + n], "big")
-            at += n
-        if at + size > len(data):
+        size = int.from_bytes(data[at : at + n], "big")
+        at += n
+    return (tag, at, at + size) if at + size <= len(data) else None
+
+
+def parts(data) -> list[tuple[int, memoryview]] | None:
+    """Tags and contents of at most MEMBERS values that fill the data exactly; None if they don't."""
+    data, out, at = memoryview(data), [], 0
+    while at < len(data):
+        value = value_at(data, at)
+        if value is None or len(out) == MEMBERS:
             return None
-        out.append((tag, data[at : at + size]))
-        at += size
+        tag, start, at = value
+        out.append((tag, data[start:at]))
     return out
 
 
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
-def private_key(data: bytes) -> bool:
+def openssh_size(data) -> int | None:
+    """Bytes of the OpenSSH key that the data begins with, as its length fields say; None if its header isn't whole."""
+    at = len(MAGIC)
+    for _ in range(3):  # cipher, key derivation and its options
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    if at + 4 > len(data) or not 1 <= (n := int.from_bytes(data[at : at + 4], "big")) <= 16:
+        return None
+    at += 4
+    for _ in range(n + 1):  # the public keys and the private part
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at
+
+
+def private_key(data) -> bool:
     """True for a PKCS#1, PKCS#8 (plain or encrypted) or SEC1 private key, or one in OpenSSH's format."""
-    if data.startswith(b"openssh-key-v1\0"):
-        at = 15
-        for _ in range(3):  # cipher, key derivation and its options
-            if at + 4 > len(data):
-                return False
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
+    if bytes(data[: len(MAGIC)]) == MAGIC:
+        return openssh_size(data) is not None
     outer = parts(data)
     if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
@@ -107,68 +128,81 @@ def private_key(data: bytes) -> bool:
     return False
 
 
-def claimed(line: str, at: int) -> int | None:
-    """Characters of base64 that the key from `at` on claims by its length fields; None if nothing there begins like one."""
+def keys_in(data: bytes) -> Iterator[tuple[int, int]]:
+    """Start and end of each private key within bytes, wherever it begins; keys within keys too. The end of an OpenSSH key
+    may lie beyond the data."""
+    whole = memoryview(data)
+    for m in BEGINS.finditer(data):
+        at = m.start()
+        if m[0] == MAGIC:
+            if (size := openssh_size(whole[at:])) is not None:
+                yield at, at + size
+        elif (value := value_at(whole, at)) and private_key(whole[at : value[2]]):
+            yield at, value[2]
 
-    def bytes_at(place: int, n: int) -> bytes:
-        return decoded(line[at + place // 3 * 4 : at + (place + n + 2) // 3 * 4])[place % 3 :][:n]
 
-    if line.startswith("b3BlbnNzaC1rZXktdjEA", at):
-        size, fields = 15, 3  # cipher, key derivation and its options; then the public keys and the private part
-        while fields:
-            size += 4 + int.from_bytes(bytes_at(size, 4), "big")
-            fields -= 1
-        n = int.from_bytes(bytes_at(size, 4), "big")
-        if not 1 <= n <= 16:
-            return None
-        size += 4
-        for _ in range(n + 1):
-            size += 4 + int.from_bytes(bytes_at(size, 4), "big")
-    else:
-        head = bytes_at(0, 6)
-        if len(head) < 6 or head[0] != SEQUENCE:
-            return None
-        long = head[1] & 0x7F if head[1] >= 0x80 else 0
-        if head[1] >= 0x80 and not 1 <= long <= 4:
-            return None
-        size = 2 + long + (int.from_bytes(head[2 : 2 + long], "big") if long else head[1])
-    return (size * 4 + 2) // 3
+def hex_keys(text: str) -> Iterator[tuple[int, int]]:
+    for m in ANY_HEX.finditer(text):
+        found, low = [], 0
+        for shift in range(2):
+            run = m[0][shift : shift + (len(m[0]) - shift) // 2 * 2]
+            found += [(shift + 2 * a, min(shift + 2 * b, len(m[0]))) for a, b in keys_in(bytes.fromhex(run))]
+        for start, end in sorted(found):
+            if start >= low:
+                low = end
+                yield m.start() + start, m.start() + end
 
 
 def encoded_keys(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of keys in base64. A key ends where a line does; it may go over several, and begin after a sign in a line."""
+    """Spans of keys in base64, which may go over several lines and begin and end anywhere in them."""
     for m in BLOCK.finditer(text):
         lines = [x.span() for x in LINE.finditer(m[0])]
-        whole = "".join(m[0][a:b] for a, b in lines)
+        whole = "".join(m[0][a:b] for a, b in lines).translate(STANDARD)
         begins = [0]  # of each line, in `whole`
         for a, b in lines:
             begins.append(begins[-1] + b - a)
-        low = 0
-        for s in START.finditer(m[0]):
-            if s.start() < low:
+        found, low = [], 0
+        for shift in range(4):
+            n = len(whole) - shift
+            data = base64.b64decode(whole[shift:] + "A" * (-n % 4))[: n * 6 // 8]
+            # Only every third byte begins where a character does; the other places are those of other alignments.
+            found += [(shift + a // 3 * 4, shift + a // 3 * 4 + ((b - a) * 4 + 2) // 3) for a, b in keys_in(data) if a % 3 == 0]
+        for start, end in sorted(found):
+            if start < low:
                 continue
-            own = bisect.bisect_right(lines, (s.start(), len(text))) - 1
-            at = begins[own] + s.start() - lines[own][0]
-            size = claimed(whole, at)
-            ends = [] if size is None else [at + size]
-            if ends and s[0] != "M":
-                ends.append(begins[own + 1])  # OpenSSH's format may be followed by more on its line
-            for end in ends:
-                last = bisect.bisect_left(begins, end)
-                if end <= at or last == len(begins) or begins[last] != end or not private_key(decoded(whole[at:end])):
-                    continue
-                low = lines[last - 1][1]
-                yield m.start() + s.start(), m.end() if last == len(lines) else m.start() + low
-                break
-
-
-def signed_token(text: str) -> bool:
-    header, payload, _ = text.split(".")
+            own = bisect.bisect_right(begins, start) - 1
+            if end > len(whole):
+                end = begins[own + 1]
+            low, last = end, bisect.bisect_left(begins, end) - 1
+            end = m.end() if end == len(whole) else m.start() + lines[last][0] + end - begins[last]
+            yield m.start() + lines[own][0] + start - begins[own], end
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of the tokens' alphabet are split at dots; three consecutive pieces are a token if the first two are JSON."""
+    for m in TOKEN.finditer(text) if "eyJ" in text else ():
+        pieces = m[0].split(".") if "eyJ" in m[0] else []
+        at, i = m.start(), 0
+        while i + 2 < len(pieces):
+            start = next((k for k in dict.fromkeys((pieces[i].find("eyJ"), pieces[i].rfind("eyJ"))) if k >= 0 and is_header(pieces[i][k:])), None)
+            n = 1
+            if start is not None and pieces[i + 1] and isinstance(parsed(pieces[i + 1]), dict):
+                n = 3
+                yield at + start, at + sum(map(len, pieces[i : i + 3])) + 2
+            at += sum(len(x) + 1 for x in pieces[i : i + n])
+            i += n
+
+
+def parsed(piece: str):
     try:
-        head, body = json.loads(decoded(header)), json.loads(decoded(payload))
+        return json.loads(decoded(piece))
     except (ValueError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+        return None
+
+
+def is_header(piece: str) -> bool:
+    head = parsed(piece)
+    return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
 def assignments(text: str) -> Iterator[tuple[int, int]]:
@@ -200,18 +234,15 @@ def scan(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     for m in HEX.finditer(text):
         found.append((m.start(), 2, m.end()))
-    for m in (*HEX.finditer(text), *ANY_HEX.finditer(text)):  # a lower-case run may lie within a longer one
-        if len(m[0]) % 2 == 0 and m[0][:30].lower().startswith(HEX_STARTS) and private_key(bytes.fromhex(m[0])):
-            found.append((m.start(), 5, m.end()))
-    if "eyJ" in text:
-        found += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if signed_token(m[0])]
-    taken: list[tuple[int, int]] = []
-    if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            if private_key(decoded(m[2])):
-                found.append((m.start(), 4, m.end()))
-                taken.append(m.span())
-    found += [(start, 5, end) for start, end in encoded_keys(text) if not any(a <= start < b for a, b in taken)]
+    found += [(start, 5, end) for start, end in hex_keys(text)]
+    found += [(start, 3, end) for start, end in signed_tokens(text)]
+    taken = [m.span() for m in PEM.finditer(text) if private_key(decoded(re.sub(r"\\[rn]", "", m[2])))] if "-----BEGIN" in text else []
+    found += [(start, 4, end) for start, end in taken]
+    starts = [a for a, _ in taken]
+    for start, end in encoded_keys(text):
+        i = bisect.bisect_right(starts, start) - 1
+        if i < 0 or start >= taken[i][1]:
+            found.append((start, 5, end))
     return sorted(set(found))
 
 

@@ -57,3 +57,33 @@ def test_broken_keys_are_left():
     start = time.perf_counter()
     secret_scan.scan("/MIIE" * 100_000 + "\n" + "/b3BlbnNzaC1rZXktdjEA" * 20_000)
     assert time.perf_counter() - start < 20
+
+
+def test_keys_stand_anywhere_in_a_run():
+    coded = base64.b64encode(RSA).decode().rstrip("=")
+    for n in range(9):
+        assert keys(f"{'Z' * n}{coded}{'Z' * 30}") == [coded]
+        assert keys(f"0x{'0' * n}{RSA.hex().upper()}{'0' * n}") == [RSA.hex().upper()]
+    escaped = "-----BEGIN PRIVATE KEY-----\\n" + wrapped(base64.b64encode(RSA).decode(), 64, "\\n") + "\\n-----END PRIVATE KEY-----"
+    assert [secret_scan.KINDS[k] for _, k, _ in secret_scan.scan(escaped)] == ["pem"]
+
+
+def test_tokens_next_to_other_pieces():
+    b64 = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    token = f"{b64('{"alg":"HS256"}')}.{b64('{"sub":"a"}')}.c2lnbmF0dXJl"
+    found = lambda t: [t[a:b] for a, k, b in secret_scan.scan(t) if secret_scan.KINDS[k] == "jwt"]
+    for text in (token, f"a.b.{token}", f"x-{token}", f"{token}.", f"id_{token}.eyJ.z"):
+        assert found(text) == [token]
+    assert found(f"{token} {token}.{token}") == [token] * 3
+    assert found("eyJ.eyJ.eyJ.a..b") == []
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "eyJ.", "-eyJ", "AKIA", "AKIA ", "M", "MIIE", "3082", "30820201", "-----BEGIN PRIVATE KEY-----", "a" * 39 + "\n", "token:", "token : ", "MIICXAIBAAKB\n", "MDAwMDAw"])
+def test_time_is_linear(piece):
+    def seconds(n):
+        start = time.perf_counter()
+        secret_scan.scan(piece * (n // len(piece)))
+        return time.perf_counter() - start
+
+    seconds(1 << 18)
+    assert seconds(1 << 22) < 0.5 + 16 * 3 * seconds(1 << 18)
