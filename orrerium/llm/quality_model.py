@@ -1,16 +1,18 @@
 """A quality classifier by attention-based multiple-instance learning, in numpy.
 
 A text is a bag of passages of PASSAGE bytes. Each passage is described by how its bytes fall into classes and follow
-each other, and by how its words and windows of words repeat within the text; a tanh layer encodes that description. A
-gated attention weighs the passages, learned from labels of whole documents only, and a logistic layer scores the
-weighted mean of their codes. All passages of every text are encoded.
+each other, by which words it holds (dealt by a hash to N_WORDS places), and by how its words and windows of words repeat
+within the text; a tanh layer encodes that description. A gated attention weighs the passages, learned from labels of
+whole documents only, and a logistic layer scores the weighted mean of their codes. All passages of every text are
+encoded, in training and in scoring.
 
 The model is fitted on a bounded sample: at most TRAIN_ROWS labelled documents that aren't held out, half of each label as
-far as there are so many, chosen by a hash of the id, and at most TRAIN_PASSAGES evenly spaced passages of each. Labels,
-language, source and id are never inputs of a score.
+far as there are so many, chosen by a hash of the id, and as many of them in that order as together have TRAIN_PASSAGES
+passages; a document that would go beyond is left out whole. Labels, language, source and id are never inputs of a score.
 
-Defined cases: a null or empty text has no passage and scores 0; if no label or only one is known, every other text
-scores that label's share. A document with several labels counts with the least. Rows that repeat get equal scores.
+Defined cases: a null or empty text is one passage without a byte, learned and scored like others; if no label or only one
+is known, every text scores that label's share (0.5 without labels). A document with several labels counts with the least,
+and of documents that share an id the one of least hash of the text is learned from. Rows that repeat get equal scores.
 """
 
 from __future__ import annotations
@@ -21,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import balanced_sample, byte_table, grams, held_out, text_batches, words_of
+from .common import balanced_sample, byte_table, grams, held_out, placed_words, text_batches, whole_within
 
 PASSAGE = 512
-TRAIN_ROWS, TRAIN_PASSAGES = 4000, 24
+TRAIN_ROWS, TRAIN_PASSAGES = 4000, 1 << 15
 CODE, GATE = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 30, 128, 0.01, 1e-4
 ACCEPT = 0.7
@@ -49,7 +52,9 @@ def _classes() -> np.ndarray:
 KIND = _classes()
 N_KINDS = 12
 N_REPEATS = 4
-WIDTH = N_KINDS + N_KINDS * N_KINDS + N_REPEATS
+N_WORDS = 128
+#: Shares of classes, of pairs of classes, of hashed words and of repetitions, and whether the text is empty.
+WIDTH = N_KINDS + N_KINDS * N_KINDS + N_WORDS + N_REPEATS + 1
 
 
 def _again(values: np.ndarray, bag: np.ndarray) -> np.ndarray:
@@ -66,37 +71,30 @@ def _again(values: np.ndarray, bag: np.ndarray) -> np.ndarray:
 def described(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Descriptions of all passages of many texts (passage, WIDTH), and the first passage of each text, with the end."""
     sizes = np.diff(offsets)
-    per = -(-sizes // PASSAGE)
+    per = np.maximum(1, -(-sizes // PASSAGE))
     first = np.concatenate([[0], np.cumsum(per)])
     n = int(first[-1])
-    if n == 0:
-        return np.zeros((0, WIDTH), np.float32), first
     text_of = np.repeat(np.arange(len(sizes)), sizes)
     place = first[:-1][text_of] + (np.arange(len(data)) - offsets[:-1][text_of]) // PASSAGE
     kind = KIND[data]
-    length = np.bincount(place, minlength=n)[:, None]
+    length = np.maximum(1, np.bincount(place, minlength=n))[:, None]
     single = np.bincount(place * N_KINDS + kind, minlength=n * N_KINDS).reshape(n, -1)
     follows = (place[:-1] * N_KINDS + kind[:-1]) * N_KINDS + kind[1:]
     double = np.bincount(follows[place[1:] == place[:-1]], minlength=n * N_KINDS * N_KINDS).reshape(n, -1)
-    words, bounds = words_of(data, offsets, byte_table("blank"))
-    out = [single / length, double / length]
-    if len(words):
-        bag = np.repeat(np.arange(len(sizes)), np.diff(bounds))
-        # Where a word starts isn't kept by words_of; its share of the text's words places it well enough in a passage.
-        rank = (np.arange(len(words)) - bounds[:-1][bag]) / np.maximum(1, np.diff(bounds))[bag]
-        at = first[:-1][bag] + np.minimum((rank * per[bag]).astype(np.int64), per[bag] - 1)
-        count = np.maximum(1, np.bincount(at, minlength=n))
-        share = lambda flags: np.bincount(at[: len(flags)], weights=flags, minlength=n) / count
-        next_same = np.append((words[1:] == words[:-1]) & (bag[1:] == bag[:-1]), False)
-        windows = []
-        for k in (3, 8):
-            hashes = grams(words, k)
-            inside = bag[: len(hashes)] == bag[len(words) - len(hashes) :]
-            windows.append(share(_again(hashes, bag[: len(hashes)]) & inside))
-        out.append(np.stack([share(next_same), share(_again(words, at)), *windows], axis=1))
-    else:
-        out.append(np.zeros((n, N_REPEATS)))
-    return np.concatenate(out, axis=1).astype(np.float32), first
+    words, starts = placed_words(data, offsets, byte_table("blank"))
+    bag, at = text_of[starts], place[starts]  # a word belongs to the passage in which it starts
+    count = np.maximum(1, np.bincount(at, minlength=n))
+    held = np.bincount(at * N_WORDS + (words % np.uint64(N_WORDS)).astype(np.int64), minlength=n * N_WORDS).reshape(n, -1)
+    share = lambda flags: np.bincount(at[: len(flags)], weights=flags, minlength=n) / count
+    next_same = np.append((words[1:] == words[:-1]) & (bag[1:] == bag[:-1]), False)[: len(words)]
+    windows = []
+    for k in (3, 8):
+        hashes = grams(words, k)
+        inside = bag[: len(hashes)] == bag[len(words) - len(hashes) :]
+        windows.append(share(_again(hashes, bag[: len(hashes)]) & inside))
+    repeats = np.stack([share(next_same), share(_again(words, at)), *windows, np.zeros(n)], axis=1)
+    repeats[first[:-1], -1] = sizes == 0
+    return np.concatenate([single / length, double / length, held / count[:, None], repeats], axis=1).astype(np.float32), first
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -176,39 +174,42 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """label, doc_id (text) and the descriptions of at most TRAIN_PASSAGES evenly spaced passages, as bytes."""
+    """n and the descriptions of all passages of the text, as half-precision numbers."""
     for batch in batches:
         out = []
         for first, end, data, offsets in text_batches(batch, "text"):
             x, bounds = described(data, offsets)
-            for i in range(end - first):
-                own = x[bounds[i] : bounds[i + 1]]
-                if len(own) > TRAIN_PASSAGES:
-                    own = own[np.linspace(0, len(own) - 1, TRAIN_PASSAGES).astype(int)]
-                out.append(np.ascontiguousarray(own).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["quality", "id", "x"])
+            out += [x[bounds[i] : bounds[i + 1]].astype(np.float16).tobytes() for i in range(end - first)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["n", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     """The model, or the share of label 1 where there is nothing to tell apart."""
     known = labels.filter(~held_out()).filter("quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("quality"))
-    chosen = balanced_sample(known, "quality", "doc_id", TRAIN_ROWS)
-    rows = docs.filter(F.octet_length("text") > 0).join(F.broadcast(chosen), "doc_id")
-    rows = rows.select("quality", F.col("doc_id").cast("string").alias("id"), "text")
-    sample = sorted({tuple(r) for r in rows.mapInArrow(_described, "quality int, id string, x binary").limit(2 * TRAIN_ROWS).collect()}, key=lambda r: (r[1], r[2]))
-    y = np.array([r[0] for r in sample], np.float32)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.filter(~held_out()).filter("doc_id is not null").select("doc_id", F.xxhash64(text).alias("sig"), F.octet_length(text).cast("long").alias("size"))
+    # Sizes and hashes choose the rows, so that only chosen texts are described.
+    known = rows.groupBy("doc_id").agg(F.min(F.struct("sig", "size")).alias("r")).join(known, "doc_id").select("doc_id", "quality", "r.*")
+    chosen = balanced_sample(known, "quality", "doc_id", TRAIN_ROWS).collect()
+    chosen = whole_within(chosen, lambda r: max(1, -(-r["size"] // PASSAGE)), TRAIN_PASSAGES)
+    y = np.array([r["quality"] for r in chosen], np.float32)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
-    return fit([np.frombuffer(r[2], np.float32).reshape(-1, WIDTH) for r in sample], y)
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("sig", T.LongType()), T.StructField("n", T.IntegerType())])
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["sig"], n) for n, r in enumerate(chosen)], schema)
+    texts = docs.select("doc_id", F.xxhash64(text).alias("sig"), text.alias("text")).join(F.broadcast(ids), ["doc_id", "sig"]).select("n", "text")
+    found = texts.mapInArrow(_described, "n int, x binary").groupBy("n").agg(F.first("x").alias("x"))
+    bags: list = [None] * len(chosen)
+    for r in found.collect():
+        bags[r["n"]] = np.frombuffer(r["x"], np.float16).astype(np.float32).reshape(-1, WIDTH)
+    return fit(bags, y)
 
 
 def scores(model: Model | float, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    if not isinstance(model, Model):
+        return np.full(len(offsets) - 1, model)
     x, bounds = described(data, offsets)
-    out = np.zeros(len(offsets) - 1)
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        out[full] = model.forward(model.scaled(x), bounds[:-1][full])["p"] if isinstance(model, Model) else model
-    return out
+    return model.forward(model.scaled(x), bounds[:-1])["p"].astype(np.float64)
 
 
 def predict(docs: DataFrame, model: Model | float) -> DataFrame:
