@@ -4,12 +4,14 @@ A text is read in windows of LENGTH bytes. In each, one gated recurrent network
 linear layer labels every position from both states, and a document's probabilities are those of its positions, pooled
 as the softmax of their mean log-probabilities. All bytes of every text are read.
 
-The network is fitted by backpropagation through time on a bounded sample of windows: TRAIN_ROWS rows at most, chosen by
-a hash of the id and balanced over languages, of which each gives WINDOWS windows at places that the hash names. Held-out
-rows are never read for it, and neither source nor id is an input. Weights, order and places come from fixed seeds.
-
-Defined cases: a text that is null or has no letter is `und` with score 0; with no labelled rows at all every text is
-`und`. Rows that repeat get equal answers.
+The network is fitted by backpropagation through time on every window of a bounded sample of rows: at most TRAIN_ROWS,
+chosen by a hash of the id and balanced over languages, and as many of them in that order as together have TRAIN_BYTES; a
+text that would go beyond is left out whole. Rows of one id are folded into one. Held-out rows are never read for it, and
+neither source nor id is an input. Weights and order come from fixed seeds.
+
+Defined cases: a text that is null or has no letter (a character that Unicode files under letters) is `und` with score 0;
+with no labelled rows at all every text is `und`. Rows that repeat get equal answers. Of rows that share an id the one of
+least language, then least hash of the text, is learned from.
 """
 
 from __future__ import annotations
@@ -21,21 +23,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import balanced_sample, held_out, text_batches
+from .common import balanced_sample, held_out, text_batches, whole_within
 
 LENGTH = 64
 HIDDEN = 8
-#: Rows that training collects at most, bytes that it keeps of each, and windows that each gives.
-TRAIN_ROWS, TRAIN_BYTES, WINDOWS = 4000, 4096, 2
+#: Rows that training collects at most, and bytes of all their texts.
+TRAIN_ROWS, TRAIN_BYTES = 4000, 1 << 22
+#: Least number of steps; more are made where one pass over all windows takes more.
 STEPS, BATCH, RATE = 260, 256, 0.02
 #: Windows that are read side by side.
 LANES = 2048
 SEED = 7
 UNKNOWN = "und"
+#: Letters and some numeric signs, which `has_letter` tells from them.
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
+
+
 class Network:
     """Weights of both directions and the output layer. Gates lie as [update, reset, candidate]."""
 
@@ -124,10 +133,13 @@ def fit(windows: np.ndarray, known: np.ndarray, labels: np.ndarray, n_labels: in
     net = Network(n_labels, rng)
     mean = {k: np.zeros_like(v) for k, v in net.weights.items()}
     square = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    for step in range(1, STEPS + 1):
-        rows = rng.integers(0, len(windows), BATCH)
+    steps = max(STEPS, -(-len(windows) // BATCH))
+    # Pass after pass over all windows, each in an order of its own.
+    order = np.concatenate([rng.permutation(len(windows)) for _ in range(-(-steps * BATCH // len(windows)))])
+    for step in range(1, steps + 1):
+        rows = order[(step - 1) * BATCH : step * BATCH]
         _, grads = net.gradients(windows[rows].T, known[rows].T, labels[rows])
-        rate = RATE * (1 - (step - 1) / STEPS) + 1e-3
+        rate = RATE * (1 - (step - 1) / steps) + 1e-3
         for k, g in grads.items():
             mean[k] = 0.9 * mean[k] + 0.1 * g
             square[k] = 0.99 * square[k] + 0.01 * g * g
@@ -137,34 +149,30 @@ def fit(windows: np.ndarray, known: np.ndarray, labels: np.ndarray, n_labels: in
 
 def train(docs: DataFrame) -> tuple[Network | None, list[str]]:
     """The network and its labels, from a bounded sample of the labelled rows that aren't held out."""
-    rows = docs.filter(~held_out()).filter("lang is not null and text is not null").select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), "text")
-    # The ids of a balanced sample are chosen first, so that texts of others are never moved.
-    chosen = balanced_sample(rows, "lang", "doc_id", TRAIN_ROWS)
-    at = F.pmod(F.shiftright("h", 8), F.greatest(F.length("text") - TRAIN_BYTES, F.lit(1))).cast("int") + 1
-    texts = rows.select("lang", "doc_id", "h", F.substring("text", at, F.lit(TRAIN_BYTES)).alias("text"))
-    sample = sorted({tuple(r) for r in texts.join(F.broadcast(chosen), ["lang", "doc_id"]).select("lang", "doc_id", "h", "text").limit(2 * TRAIN_ROWS).collect()}, key=lambda r: (r[2], str(r[1]), r[0], r[3]))
-    return sample_fit([(r[0], r[3]) for r in sample])
+    rows = docs.filter(~held_out()).filter("lang is not null and text <> '' and doc_id is not null")
+    rows = rows.select("lang", "doc_id", F.xxhash64("text").alias("sig"), F.octet_length("text").cast("long").alias("size"))
+    # Sizes and hashes choose the rows, so that only chosen texts are moved.
+    known = rows.groupBy("doc_id").agg(F.min(F.struct("lang", "sig", "size")).alias("r")).select("doc_id", "r.*")
+    chosen = whole_within(balanced_sample(known, "lang", "doc_id", TRAIN_ROWS).collect(), lambda r: r["size"], TRAIN_BYTES)
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["sig"], n) for n, r in enumerate(chosen)], T.StructType([docs.schema["doc_id"], T.StructField("sig", T.LongType()), T.StructField("n", T.IntegerType())]))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("sig"), "text").join(F.broadcast(ids), ["doc_id", "sig"])
+    found = texts.groupBy("n").agg(F.first("text").alias("text")).collect()
+    return sample_fit([(chosen[r["n"]]["lang"], r["text"]) for r in sorted(found)])
 
 
 def sample_fit(sample: list[tuple[str, str]]) -> tuple[Network | None, list[str]]:
+    """Fits on all windows of the texts, the last of each filled up with bytes that count for nothing."""
     langs = sorted({lang for lang, _ in sample})
-    if not langs:
-        return None, []
-    rng = np.random.default_rng(SEED + 1)
     windows, known, labels = [], [], []
     for lang, text in sample:
         data = np.frombuffer(text.encode(), np.uint8)
-        for _ in range(WINDOWS if len(data) else 0):
-            at = int(rng.integers(0, max(1, len(data) - LENGTH + 1)))
-            part = data[at : at + LENGTH]
-            row = np.zeros(LENGTH, np.uint8)
-            row[: len(part)] = part
-            windows.append(row)
-            known.append(np.arange(LENGTH) < len(part))
-            labels.append(langs.index(lang))
-    if not windows:
+        n = -(-len(data) // LENGTH)
+        windows.append(np.pad(data, (0, n * LENGTH - len(data))).reshape(n, LENGTH))
+        known.append((np.arange(n * LENGTH) < len(data)).reshape(n, LENGTH))
+        labels.append(np.full(n, langs.index(lang)))
+    if not sum(map(len, windows)):
         return None, []
-    return fit(np.array(windows), np.array(known), np.array(labels), len(langs)), langs
+    return fit(np.concatenate(windows), np.concatenate(known), np.concatenate(labels), len(langs)), langs
 
 
 def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -203,7 +211,7 @@ def predict(docs: DataFrame, net: Network | None, langs: list[str]) -> DataFrame
                 sizes = np.diff(offsets)
                 for i in range(end - first):
                     text = texts[first + i].as_py()
-                    if net is None or not text or not LETTER.search(text):
+                    if net is None or not has_letter(text):
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue

@@ -201,7 +201,7 @@ def parsed(piece: str):
 
 
 def is_header(piece: str) -> bool:
-    head = parsed(piece)
+    head = parsed(piece) if len(piece) >= 14 else None  # as long as {"alg":""}
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
