@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 
 from . import chat_format, decontamination, language_id, mixing, ngram_join, pii, quality_model, quality_rules, secret_scan, sharding
-from .common import table
+from .common import shared_folder, table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +68,22 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of both policies rejects, from one written ledger."""
+    book = quality_rules.written(table(spark, sf_dir, "documents"), os.path.join(shared_folder(spark), f"ledger-{uuid.uuid4().hex}"))
+    return quality_rules.ablations(book, quality_rules.BASE).unionByName(quality_rules.ablations(book, quality_rules.CURRENT))
+
+
+_RULES = ", ".join(f"('{policy.version}', '{name}', {1 << b}, {policy.mask})" for policy in (quality_rules.BASE, quality_rules.CURRENT) for b, (name, _) in enumerate(quality_rules.RULES) if name in policy.rules)
+
+ABLATIONS_SQL = f"""
+with book as ({OP4_SQL}), rules(version, rule, bit, mask) as (values {_RULES})
+select version, rule, count(*) filter (where fail_bits & bit <> 0) as n_failed, count(*) filter (where fail_bits & mask = bit) as n_failed_alone,
+       count(*) filter (where fail_bits & mask = 0) as n_kept, count(*) filter (where fail_bits & mask & ~bit = 0) as n_kept_without
+from rules, book group by version, rule
+"""
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -129,6 +148,7 @@ def queries() -> dict:
         "op2_ngram_join": op2_ngram_join,
         "op3_quality_model": op3_quality_model,
         "op4_quality_rules": op4_quality_rules,
+        "rule_ablations": rule_ablations,
         "op5_pii": op5_pii,
         "op6_mixing": op6_mixing,
         "op7_language_id": op7_language_id,
@@ -140,4 +160,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL, "op9_decontamination": OP9_SQL}
+    return {"op1_chat_format": OP1_SQL, "op2_ngram_join": OP2_SQL, "op4_quality_rules": OP4_SQL, "rule_ablations": ABLATIONS_SQL, "op9_decontamination": OP9_SQL}
