@@ -192,15 +192,14 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share source, id and text but differ elsewhere are kinds of one unit; they are taken in the order of a hash.
     """
     key = [F.col("source").cast("string").alias("source"), F.col("doc_id").cast("string").alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("sig")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_digest(docs).alias("kind"), *key)
-    # Equal rows fold before they are shuffled; only a unit's kinds, which differ, are put in order.
-    kinds = rows.groupBy("source", "doc", "sig", "kind").agg(F.first("row").alias("row"), F.count("*").alias("n"))
-    counts = checkpoint(rows.groupBy("source", "doc", "sig", "kind").agg(F.count("*").alias("n")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_digest(docs).alias("kind"), *key)
+    counts = checkpoint(keyed.groupBy("source", "doc", "sig", "kind").agg(F.count("*").alias("n")))
     before = F.sum("n").over(Window.partitionBy("source", "doc", "sig").orderBy("kind").rowsBetween(Window.unboundedPreceding, -1))
-    same = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & F.col(f"{a}.doc").eqNullSafe(F.col(f"{b}.doc")) & (F.col(f"{a}.sig") == F.col(f"{b}.sig"))
-    placed = counts.withColumn("before", F.coalesce(before, F.lit(0))).alias("c").join(units(docs).alias("u"), same("c", "u"))
+    same = F.col("c.source").eqNullSafe(F.col("u.source")) & F.col("c.doc").eqNullSafe(F.col("u.doc")) & (F.col("c.sig") == F.col("u.sig"))
+    placed = counts.withColumn("before", F.coalesce(before, F.lit(0))).alias("c").join(units(docs).alias("u"), same)
     more = F.least(F.greatest(F.col("u.more") - F.col("c.before"), F.lit(0)), F.col("c.n"))
-    times = (F.col("u.base") * F.col("c.n") + more).alias("times")
-    placed = placed.select("c.source", "c.doc", "c.sig", F.col("c.kind").alias("own"), times).filter("times > 0")
-    kept = kinds.alias("k").join(placed.alias("p"), same("k", "p") & (F.col("k.kind") == F.col("p.own"))).select("row", "times")
+    placed = placed.select(F.col("c.sig").alias("own_sig"), F.col("c.kind").alias("own_kind"), (F.col("u.base") * F.col("c.n") + more).alias("times")).filter("times > 0")
+    # Equal rows fold before they are shuffled. Hashes of the text and of all columns name a row, in one shuffle.
+    rows = keyed.groupBy("sig", "kind").agg(F.first("row").alias("row"))
+    kept = rows.join(placed, (F.col("sig") == F.col("own_sig")) & (F.col("kind") == F.col("own_kind"))).select("row", "times")
     return repeated(kept, "times").select("row.*")
