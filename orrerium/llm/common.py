@@ -54,8 +54,8 @@ def spread_join(rows: DataFrame, facts: DataFrame, key: str, total: int) -> Data
     Fewer than HOT_KEYS keys can hold more than total / HOT_KEYS of all rows. Their facts are sent to the rows, which stay
     where they lie; the other keys are shuffled.
     """
-    hot = facts.filter(F.col("n") > max(total / HOT_KEYS, 256))
-    cold = facts.filter(F.col("n") <= max(total / HOT_KEYS, 256))
+    hot = facts.filter(F.col("n") > max(total / HOT_KEYS, 16))
+    cold = facts.filter(F.col("n") <= max(total / HOT_KEYS, 16))
     here = rows.join(F.broadcast(hot), key)
     return here.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
 
