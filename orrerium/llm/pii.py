@@ -129,7 +129,10 @@ def scan(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, int, in
     """(place in KINDS, start, end) of every span, sorted."""
     found: list[tuple[int, int, int]] = []
     email_from = ip_from = card_from = account_from = ipv6_from = address_from = 0
-    for last, (anchor, width) in automaton.iter(text.lower() if text.isascii() else text.translate(FOLD)):
+    low = text.lower()
+    if len(low) != len(text):  # a letter beyond ASCII became two
+        low = text.translate(FOLD)
+    for last, (anchor, width) in automaton.iter(low):
         at = last - width + 1
         if anchor == "0":
             if at >= ip_from:
