@@ -29,8 +29,6 @@ VIEWS = {
         case when s_suppkey % 4 = 0 then 'https://orcid.org/0000-' || cast(s_suppkey as string) when s_suppkey % 4 = 2 then 'orcid:0000-' || cast(s_suppkey - 2 as string) end as identifier,
         case when s_suppkey % 5 = 0 then null else 'Dept. of ' || n_name || ', ' || n_name end as affiliation
         from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey""",
-    "v_scores_seq": f"select {DS.format('l_partkey % 50')} as dataset_id, cast(round(l_extendedprice, 0) % 101 as double) as score, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey * 10 + cast(l_quantity as int) % 10 as seq from lineitem where l_partkey % 3 = 0",
-    # every line's score, by its own dataset; v_scores_seq is what the SQL reads
     "v_scores_all": f"select {DS.format('l_partkey')} as dataset_id, cast(round(l_extendedprice, 0) % 101 as double) as score, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey * 10 + cast(l_quantity as int) % 10 as seq from lineitem",
     "v_days": "select distinct cast(ts as date) as day from events",
     "v_works": """select 'W' || cast(o_orderkey as string) as oa_id, case when o_orderkey % 5 = 0 then '' else '10.5555/pub.' || cast(o_orderkey % 9000 as string) end as doi,
