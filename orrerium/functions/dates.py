@@ -25,8 +25,36 @@ def try_date(c) -> Column:
     return F.when(text.rlike(r"^\d+-\d{1,2}-\d{1,2}"), F.try_to_date(F.regexp_extract(text, r"^(\d+-\d{1,2}-\d{1,2})(?:[ T].*)?$", 1), "y-M-d"))
 
 
+#: Names of months, whole or short, and how dates with them are written; places of year, month and day.
+_MONTH = "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+_NAMED = (
+    (rf"(?i)^{_MONTH}\.? (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})$", (3, 1, 2)),
+    (rf"(?i)^(\d{{1,2}})(?:st|nd|rd|th)?[ -]{_MONTH}\.?,?[ -](\d{{4}})$", (3, 2, 1)),
+    (rf"(?i)^{_MONTH}\.?,? (\d{{4}})$", (2, 1, None)),
+    (rf"(?i)^(\d{{4}})[ -]{_MONTH}\.?[ -](\d{{1,2}})$", (1, 2, 3)),
+)
+
+
+def free_date(c) -> Column:
+    """A date with a month's name, with dots, or in numbers with the year last: then the month comes first, if it can be one."""
+    text = F.trim(_col(c))
+    found = []
+    for pattern, (y, m, d) in _NAMED:
+        head = F.lower(F.substring(F.regexp_extract(text, pattern, m), 1, 3))
+        month = ((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), head) + 2) / 3).cast("int")
+        day = F.regexp_extract(text, pattern, d) if d else F.lit("1")
+        found.append(F.when(text.rlike(pattern), F.concat_ws("-", F.regexp_extract(text, pattern, y), month.cast("string"), day)))
+    first = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
+    a, b, y = (F.regexp_extract(text, first, i) for i in (1, 2, 3))
+    can = a.try_cast("int") <= 12
+    found.append(F.when(text.rlike(first), F.concat_ws("-", y, F.when(can, a).otherwise(b), F.when(can, b).otherwise(a))))
+    found.append(F.when(text.rlike(r"^\d{4}\.\d{1,2}\.\d{1,2}$"), F.replace(text, F.lit("."), F.lit("-"))))
+    return F.try_to_date(F.coalesce(*found), "y-M-d")
+
+
 def norm_date_iso(c) -> Column:
-    """An ISO text of date and time from a year, month, day, compact date or ISO time with an offset; null otherwise.
+    """An ISO text of date and time from a year, month, day, compact date or ISO time with an offset, or a `free_date`; null
+    otherwise.
 
     What is missing is the first month, day or midnight. An offset is kept, Z as +00:00.
     """
@@ -40,7 +68,13 @@ def norm_date_iso(c) -> Column:
     offset = F.when(offset == "Z", "+00:00").otherwise(F.regexp_replace(offset, r"^([+-]\d{2})(\d{2})$", "$1:$2"))
     shape = r"^\d{4}(-\d{1,2}(-\d{1,2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?)?)?)?$|^\d{8}$"
     ok = text.rlike(shape) & F.try_to_date(day, "yyyy-MM-dd").isNotNull()
-    return F.when(ok, F.concat(day, F.lit("T"), time, offset))
+    free = F.date_format(free_date(c), "yyyy-MM-dd'T'00:00:00")
+    return F.when(ok, F.concat(day, F.lit("T"), time, offset)).when(_col(c).rlike(r"[A-Za-z]{3}|^\s*\d{1,4}[/.-]\d{1,2}[/.-]"), free)
+
+
+def best_publication_date(*found) -> Column:
+    """The first date, as ISO text, that one of several sources gives."""
+    return F.coalesce(*map(norm_date_iso, found))
 
 
 def utc_instant(c) -> Column:

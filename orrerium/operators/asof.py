@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows up to which a side that is one row per key and step is sent out whole; beyond, the join shuffles.
-SMALL_ROWS = 2_000_000
-
 
 def intervals(right: DataFrame, key: str, at: str, ties: list[Column] | None = None) -> DataFrame:
     """The right side with `until`, where its next row of the key begins; rows without key or place can't match and go.
@@ -21,15 +18,13 @@ def intervals(right: DataFrame, key: str, at: str, ties: list[Column] | None = N
     return right.withColumn("until", F.lead(at).over(Window.partitionBy(key).orderBy(at)))
 
 
-def asof_left_join(left: DataFrame, right: DataFrame, left_key: str, left_at: str, right_key: str, right_at: str, ties: list[Column] | None = None, small: bool | None = None) -> DataFrame:
+def asof_left_join(left: DataFrame, right: DataFrame, left_key: str, left_at: str, right_key: str, right_at: str, ties: list[Column] | None = None, small: bool = False) -> DataFrame:
     """All left rows, each with at most one right row. Column names of the sides must differ.
 
     The right side's rows become intervals that don't overlap, so that an equality and a range find at most one. small:
-    send the right side to every task; by default if it has at most SMALL_ROWS rows.
+    send the right side to every task, whose bound the caller knows; by default run-time statistics decide.
     """
     right = intervals(right, right_key, right_at, ties)
-    if small is None:
-        small = right.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
     right = F.broadcast(right) if small else right
     inside = (F.col(left_at) >= F.col(right_at)) & (F.col("until").isNull() | (F.col(left_at) < F.col("until")))
     return left.join(right, (F.col(left_key) == F.col(right_key)) & inside, "left").drop("until")

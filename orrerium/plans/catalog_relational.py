@@ -212,10 +212,13 @@ def ordered_nulls_last(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").groupBy("p_brand").agg(F.round(F.sum("p_retailprice"), 2).alias("total")).orderBy(F.desc_nulls_last("total"))
 
 
-@query()
+SAMPLED = "md5(cast(l_orderkey as {0}) || '/' || cast(l_linenumber as {0}) || '/' || cast(l_partkey as {0}) || '/7')"
+
+
+@query(f"select l_orderkey, l_linenumber from lineitem order by {SAMPLED.format('varchar')}, l_orderkey, l_linenumber limit 100")
 def sampled_rows(spark: SparkSession, d: str) -> DataFrame:
-    """A sampling operator: 100 rows at random, by a fixed seed."""
-    return table(spark, d, "lineitem").orderBy(F.rand(7)).limit(100).select("l_orderkey", "l_linenumber")
+    """A sampling operator: 100 rows in the order of a hash of their keys and a seed, whatever the partitioning."""
+    return table(spark, d, "lineitem").orderBy(F.expr(SAMPLED.format("string")), "l_orderkey", "l_linenumber").limit(100).select("l_orderkey", "l_linenumber")
 
 
 @query("select distinct event_type, user_id from events")

@@ -305,14 +305,17 @@ def ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
     return incremental.upsert(first, rows, ["source", "day"], "seq")
 
 
-@query("select 'k' || cast(p_partkey as varchar) as key, 1000 + row_number() over (order by 'k' || cast(p_partkey as varchar)) as id from part where p_partkey % 3 <> 0")
+@query("""select 'key' as kind, 'k' || cast(p_partkey as varchar) as value from part where p_partkey % 3 <> 0
+    union all select 'id', cast(1000 + row_number() over (order by p_partkey) as varchar) from part where p_partkey % 3 <> 0""")
 def numbered_inserts(spark: SparkSession, d: str) -> DataFrame:
+    """Each new key and each id given out; which key gets which id is left to a hash."""
     part = table(spark, d, "part")
     existing = part.filter("p_partkey % 3 = 0").select(F.concat(F.lit("k"), F.col("p_partkey").cast("string")).alias("key"), F.least(F.col("p_partkey"), F.lit(1000)).alias("id"))
     existing = existing.unionAll(spark.sql("select 'x' as key, 1000L as id"))
     incoming = part.select(F.concat(F.lit("k"), F.col("p_partkey").cast("string")).alias("key"))
     out = incremental.numbered_inserts(incoming.unionAll(incoming), existing, "key", "id", ["key"])
-    return out.select("key", F.col("id").cast("long").alias("id"))
+    pair = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+    return out.select(F.inline(F.array(pair("key", F.col("key")), pair("id", F.col("id")))))
 
 
 @query("""with y as (select greatest(make_date(y, 1, 1), date '2022-03-10') as a, least(make_date(y, 12, 31), date '2024-02-20') as b from (select cast(unnest(range(2022, 2025)) as int) as y)),

@@ -51,7 +51,7 @@ def enhanced_topics(topics: DataFrame, mapping: DataFrame) -> DataFrame:
     """Topics with the mapping's columns filled in by topic; of equal topics in the mapping the last row counts."""
     known = last_wins(mapping.withColumn("topic_id", topic_id("topic_id")), "topic_id", "seq")
     extra = [c for c in known.columns if c != "topic_id"]
-    side = F.broadcast(known.select(F.col("topic_id").alias("__t"), *[F.col(c).alias(f"__{c}") for c in extra]))  # a row for each topic
+    side = known.select(F.col("topic_id").alias("__t"), *[F.col(c).alias(f"__{c}") for c in extra])
     out = topics.withColumn("topic_id", topic_id("topic_id")).join(side, F.col("topic_id") == F.col("__t"), "left")
     return out.select(*[c for c in topics.columns if c not in extra], *[F.coalesce(f"__{c}", c).alias(c) if c in topics.columns else F.col(f"__{c}").alias(c) for c in extra])
 
@@ -63,6 +63,22 @@ def flat_model_topics(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_subfield(topics: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Topics with the subfield that the mapping's first row of their topic has; ids are compared by their digits."""
+    named = mapping.select(topic_id("topic_id").alias("__t"), F.trim("subfield_id").alias("subfield_id"), "seq").filter("__t is not null")
+    first = named.groupBy("__t").agg(F.min_by("subfield_id", "seq").alias("subfield_id"))
+    out = topics.drop("subfield_id").withColumn("topic_id", topic_id("topic_id"))
+    return out.join(first, F.col("topic_id") == F.col("__t"), "left").drop("__t")
+
+
+def merged_scores(parts: list[DataFrame]) -> DataFrame:
+    """Score records of several files, their DOI as dataset_id."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.withColumnRenamed("doi", "dataset_id") if "doi" in out.columns else out
+
+
 def extrapolated_fair(datasets: DataFrame, scores: DataFrame, seq: str = "seq", default: float = FAIR_EXTRAPOLATED) -> DataFrame:
     """Each dataset with its last score, or the default, and whether that was extrapolated."""
     last = last_wins(scores.select("dataset_id", "score", seq), "dataset_id", seq)

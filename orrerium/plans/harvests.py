@@ -129,6 +129,36 @@ def new_links(blocks: DataFrame, known: DataFrame) -> DataFrame:
     return fresh.groupBy("dataset_id").agg(F.array_sort(F.collect_set("doi")).alias("dois"))
 
 
+def new_others(blocks: DataFrame, known: DataFrame) -> DataFrame:
+    """Of each dataset's other links the ids that no known block has, sorted."""
+    each = lambda df: df.select("dataset_id", F.explode("citations.other").alias("o")).select("dataset_id", F.trim("o.id").alias("id"))
+    fresh = new_rows(each(blocks).filter("id <> ''").distinct(), each(known), ["dataset_id", "id"])
+    return fresh.groupBy("dataset_id").agg(F.array_sort(F.collect_set("id")).alias("others"))
+
+
+def citing_works(works: DataFrame, today: str) -> DataFrame:
+    """Citations from citing works: dataset_id, pubyear, id, doi, publication_date and publication_year of each.
+
+    A date that isn't realistic gives way to the year; without both there are placeholders. Works without DOI and id go.
+    """
+    this_year = int(today[:4])
+    link = F.coalesce(F.when(ids.norm_doi("doi") != "", ids.norm_doi_url("doi")), _filled(F.col("id")))
+    dated = lambda c: dates.realistic_date(dates.norm_date_iso(c), today)
+    rows = works.withColumns({"citation_link": link, "citation_date": F.coalesce(dated("publication_date"), dated(F.col("publication_year").cast("string")))})
+    rows = rows.withColumn("citation_year", dates.leading_year("citation_date", this_year)).filter("citation_link is not null")
+    rows = with_placeholders(with_weight(rows, "citation"), "citation").withColumn("source", F.array(F.lit("openalex")))
+    keep = ["dataset_id", "citation_link", "citation_weight", "citation_date", "placeholder_date", "citation_year", "placeholder_year", "source", "id"]
+    return dedupe_by_link(rows.select(*keep), "citation", ["id"]).drop("id")
+
+
+def fair_report() -> list[Column]:
+    """The columns of an assessment's report that are kept, from its response; an instant is normalised."""
+    return [
+        F.col("summary.score_percent.FAIR").alias("fair_score"), dates.norm_date_iso("end_timestamp").alias("evaluation_date"),
+        F.col("metric_version").alias("fuji_metric_version"), F.col("software_version").alias("fuji_software_version"),
+    ]
+
+
 def corpus_index(records: DataFrame) -> DataFrame:
     """One row for each dataset and publication of a citation corpus; each column is the least of its values."""
     day = dates.norm_date_iso("publishedDate")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.ids import creator_identifier
+from ..functions.ids import creator_identifier, norm_dataset_id
 from ..functions.text import affiliation_list
 from ..functions.weights import CITATION_THRESHOLD, FAIR_THRESHOLD, MENTION_THRESHOLD, floored, raw_index
 from ..operators.asof import asof_left_join
@@ -90,6 +90,27 @@ def dataset_index(metrics: DataFrame, topics: DataFrame, subfields: DataFrame) -
     return out.withColumns({"dataset_index_topic": index("t"), "dataset_index_subfield": index("s")})
 
 
+def year_factors(rows: DataFrame, factors: DataFrame, key: str) -> DataFrame:
+    """Rows (key and pubyear) with ft, ctw and mtw as of the year or by default, n_year_gap and method."""
+    out = _normalised(rows, factors, key, "n")
+    return out.withColumnsRenamed({"n_norm_fair": "ft", "n_norm_cit": "ctw", "n_norm_men": "mtw", "n_norm_gap": "n_year_gap", "n_source": "method"})
+
+
+def series_of_requests(requests: DataFrame, metadata: DataFrame, topics: DataFrame, fair: DataFrame, citations: DataFrame, mentions: DataFrame, factors: DataFrame, this_year: int) -> DataFrame:
+    """The yearly series of datasets that are asked for by DOI or address (column `request`, in any writing).
+
+    What is known of a dataset is joined by its normalised id; an unknown one has neither year nor subfield and gets the
+    default factors. factors: floored ones of subfields.
+    """
+    asked = requests.select(norm_dataset_id("request").alias("dataset_id")).filter("dataset_id <> ''").distinct()
+    known = asked.join(metadata.groupBy("dataset_id").agg(F.min("pubyear").alias("pubyear")), "dataset_id", "left")
+    known = known.join(topics.groupBy("dataset_id").agg(F.min("subfield_id").alias("subfield_id")), "dataset_id", "left")
+    known = known.join(fair.groupBy("dataset_id").agg(F.max("score").alias("fair_score")), "dataset_id", "left")
+    event = lambda df, kind: df.select("dataset_id", F.lit(kind).alias("kind"), F.col(f"{kind}_year").alias("year"), F.col(f"{kind}_weight").alias("weight"))
+    events = event(citations, "citation").unionByName(event(mentions, "mention")).join(asked, "dataset_id", "left_semi")
+    return index_series(year_factors(known, factors, "subfield_id"), events, this_year, ("ft", "ctw", "mtw"))
+
+
 def creators(metrics: DataFrame) -> DataFrame:
     """dataset_id, creator_name, name_type, affiliations and primary_identifier of each creator of each dataset."""
     c = F.col("c")
@@ -135,9 +156,11 @@ def ranked(authors: DataFrame) -> DataFrame:
     return authors.orderBy(F.desc_nulls_last("S_index_topics"))
 
 
-def index_series(datasets: DataFrame, events: DataFrame, this_year: int, thresholds: tuple[float, float, float] = (FAIR_THRESHOLD, CITATION_THRESHOLD, MENTION_THRESHOLD)) -> DataFrame:
+def index_series(datasets: DataFrame, events: DataFrame, this_year: int, thresholds: tuple = (FAIR_THRESHOLD, CITATION_THRESHOLD, MENTION_THRESHOLD)) -> DataFrame:
     """dataset_id, position, year and dataset_index for the year of publication and every other year with evidence.
 
+    thresholds: of the score, citations and mentions; numbers, or names of columns of the datasets.
+
     The first row is that of publication; what was cited before is in it already, so that earlier years, which follow,
     repeat its value. datasets: dataset_id, pubyear, fair_score. events: dataset_id, kind, year, weight.
     """
@@ -146,12 +169,12 @@ def index_series(datasets: DataFrame, events: DataFrame, this_year: int, thresho
     known = datasets.select("dataset_id").join(sums.select("dataset_id").unionAll(starts.select("dataset_id")), "dataset_id", "left_anti")
     bare = known.select("dataset_id", F.lit(this_year).alias("year"), F.lit(0.0).alias("citation"), F.lit(0.0).alias("mention"))
     years = sums.unionByName(starts).unionByName(bare).groupBy("dataset_id", "year").agg(F.sum("citation").alias("citation"), F.sum("mention").alias("mention"))
-    rows = years.join(datasets.select("dataset_id", "pubyear", "fair_score"), "dataset_id")
+    rows = years.join(datasets.select("dataset_id", "pubyear", "fair_score", *[t for t in thresholds if isinstance(t, str)]), "dataset_id")
     own = Window.partitionBy("dataset_id")
     upto = own.orderBy("year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = lambda c: F.sum(F.when(F.col("year") <= F.col("pubyear"), F.col(c)).otherwise(0.0)).over(own)
     total = lambda c: F.when(F.col("year") <= F.col("pubyear"), first(c)).otherwise(F.sum(c).over(upto))
-    ft, ct, mt = thresholds
+    ft, ct, mt = (F.col(t) if isinstance(t, str) else F.lit(t) for t in thresholds)
     value = (F.coalesce("fair_score", F.lit(0.0)) / ft + total("citation") / ct + total("mention") / mt) / 3.0
     place = F.row_number().over(own.orderBy(F.coalesce(F.col("year") != F.col("pubyear"), F.lit(True)), "year"))
     return rows.select("dataset_id", place.alias("position"), "year", value.alias("dataset_index"))

@@ -25,7 +25,8 @@ def ndjson(spark: SparkSession, paths: str | list[str], schema: str, keep_bad: b
 
 
 def bad_line_count(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count("*").alias("n"), F.count(BAD).alias("n_bad"))
+    # All columns are read, as a scan of the column for broken lines alone isn't allowed.
+    return rows.agg(F.count("*").alias("n"), F.count(F.when(F.col(BAD).isNotNull(), F.struct(*rows.columns))).alias("n_bad"))
 
 
 def json_arrays(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:

@@ -20,6 +20,15 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
+def copy_table(spark: SparkSession, name: str, to: str) -> None:
+    replace_table(spark.table(name), to)
+
+
+def external_table(spark: SparkSession, name: str, path: str) -> None:
+    """A name for Parquet files that stay where they are."""
+    spark.catalog.createTable(name, path=path, source="parquet")
+
+
 def view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

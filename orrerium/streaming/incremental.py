@@ -23,11 +23,11 @@ def _shared(spark: SparkSession) -> str:
     return os.path.join(named, f"stream-{uuid.uuid4().hex}")
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _files(spark: SparkSession, path: str, schema: T.StructType, files: int = 64) -> DataFrame:
     """Parquet files of a folder, or one file, as a stream."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     is_file = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isFile()
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
     return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path)) if is_file else reader.parquet(path)
 
 
@@ -56,15 +56,20 @@ def load_new(spark: SparkSession, path: str, schema: T.StructType, keys: list[st
     return spark.read.parquet(table).select(*keys)
 
 
-def daily_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """day, event_type and n. Days that the watermark hasn't passed at the end are written by the last, complete batch."""
+def daily_counts(spark: SparkSession, path: str, schema: T.StructType, files: int = 64) -> DataFrame:
+    """day, event_type and n. Each batch writes the counts that it changed; of a day the last batch's count holds.
+
+    A record that comes later than LATE after the latest of earlier batches is left out, and the state of days that the
+    watermark has passed is dropped, so that it doesn't grow with the stream. files: of one batch.
+    """
     base = _shared(spark)
-    rows = _files(spark, path, schema).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", LATE)
+    rows = _files(spark, path, schema, files).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", LATE)
     counts = rows.groupBy(F.window("at", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"))
     out = counts.select(F.to_date("w.start").alias("day"), "event_type", "n")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/counts")
+        changed = batch.withColumn("batch_id", F.lit(batch_id))
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{base}/counts")
 
-    out.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/counts")
+    out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/counts").groupBy("day", "event_type").agg(F.max_by("n", "batch_id").alias("n"))
