@@ -13,6 +13,7 @@ from ..operators import incremental, lookup
 from ..operators.asof import asof_left_join
 from ..operators.merge import dedupe_by_link, merge_evidence
 from ..operators.modes import mode
+from ..session import checkpoint
 from . import evidence, harvests, metrics
 from .views import VIEWS, table, view
 
@@ -123,11 +124,6 @@ def _metrics(spark, d) -> DataFrame:
     return metrics.dataset_metrics(view(spark, d, "v_metadata"), _citations(spark, d), _mentions(spark, d), view(spark, d, "v_fair"), _topics(spark, d))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Metrics feed the factors, their join and the authors; one row for each dataset is kept rather than computed again."""
-    return df.persist()
-
-
 def _r(c, name=None):
     return F.round(F.col(c), 6).alias(name or c)
 
@@ -178,23 +174,23 @@ def _factors(df: DataFrame) -> DataFrame:
 
 @query(with_views("t_factors", last=FACTOR_SQL + " from t_factors"))
 def norm_factors_topics(spark: SparkSession, d: str) -> DataFrame:
-    return _factors(metrics.topic_factors(_kept(_metrics(spark, d))))
+    return _factors(metrics.topic_factors(checkpoint(_metrics(spark, d))))
 
 
 @query(with_views("s_factors", last=FACTOR_SQL + " from s_factors"))
 def norm_factors_subfields(spark: SparkSession, d: str) -> DataFrame:
-    return _factors(metrics.subfield_factors(_kept(_metrics(spark, d))))
+    return _factors(metrics.subfield_factors(checkpoint(_metrics(spark, d))))
 
 
 @query(with_views("t_floored", last=FACTOR_SQL + ", cit_is_floored, men_is_floored, fair_is_floored from t_floored"))
 def floored_factors(spark: SparkSession, d: str) -> DataFrame:
-    out = metrics.floored_factors(metrics.topic_factors(_kept(_metrics(spark, d))))
+    out = metrics.floored_factors(metrics.topic_factors(checkpoint(_metrics(spark, d))))
     return out.select("id", "name", "pubyear", _r("median_fair_score_3yr"), _r("median_cit_weight_3yr"), _r("median_men_weight_3yr"), "n_fair", "n_cit", "n_men", "cit_is_floored", "men_is_floored", "fair_is_floored")
 
 
 def _indexed(spark, d, extra: DataFrame | None = None) -> DataFrame:
-    rows = _kept(_metrics(spark, d))
-    return metrics.dataset_index(rows, _kept(metrics.floored_factors(metrics.topic_factors(rows))), _kept(metrics.floored_factors(metrics.subfield_factors(rows))))
+    rows = checkpoint(_metrics(spark, d))
+    return metrics.dataset_index(rows, checkpoint(metrics.floored_factors(metrics.topic_factors(rows))), checkpoint(metrics.floored_factors(metrics.subfield_factors(rows))))
 
 
 def _label(year: str) -> str:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, ids, weights
 from ..operators.merge import first_wins
+from ..session import checkpoint
 from ..sources import readers, writers
 from ..streaming.incremental import _shared
 from . import evidence, harvests, metrics
-from .catalog import SHARED, THIS_YEAR, TODAY, W, _citations, _kept, _mentions, _metrics, _r, _topics, query, with_views
+from .catalog import SHARED, THIS_YEAR, TODAY, W, _citations, _mentions, _metrics, _r, _topics, query, with_views
 from .catalog_sources import LINES, _blocks, _sql
 from .views import table, view
 
@@ -195,7 +196,7 @@ FACTOR_SIDE = "asof left join (select * from s_floored where id <> 'DEFAULT') s
     from (select distinct 'S' || p_brand as subfield_id, cast(1990 + p_partkey % 15 as int) as pubyear from part) k """ + FACTOR_SIDE.format("k.subfield_id", "k.pubyear")))
 def subfield_year_factors(spark: SparkSession, d: str) -> DataFrame:
     asked = _sql(spark, d, "select distinct 'S' || p_brand as subfield_id, cast(1990 + p_partkey % 15 as int) as pubyear from {part}", "part")
-    factors = metrics.floored_factors(metrics.subfield_factors(_kept(_metrics(spark, d))))
+    factors = metrics.floored_factors(metrics.subfield_factors(checkpoint(_metrics(spark, d))))
     out = metrics.year_factors(asked, factors, "subfield_id")
     return out.select("subfield_id", "pubyear", *[_r(c) for c in ("ft", "ctw", "mtw")], "n_year_gap", "method")
 
@@ -214,7 +215,7 @@ SHARED["cited_years"] = "select dataset_id, coalesce(citation_year, 2025) as yea
 def series_of_requests(spark: SparkSession, d: str) -> DataFrame:
     """Every dataset asked for by an address of its DOI, in other letters."""
     asked = view(spark, d, "v_metadata").select(F.concat(F.lit("https://doi.org/"), F.upper("dataset_id")).alias("request"))
-    factors = metrics.floored_factors(metrics.subfield_factors(_kept(_metrics(spark, d))))
+    factors = metrics.floored_factors(metrics.subfield_factors(checkpoint(_metrics(spark, d))))
     out = metrics.series_of_requests(asked, view(spark, d, "v_metadata"), _topics(spark, d), view(spark, d, "v_fair"), _citations(spark, d), _mentions(spark, d), factors, THIS_YEAR)
     return out.select("dataset_id", "year", _r("dataset_index"))
 

@@ -11,7 +11,6 @@ from ..functions.text import affiliation_list
 from ..functions.weights import CITATION_THRESHOLD, FAIR_THRESHOLD, MENTION_THRESHOLD, floored, raw_index
 from ..operators.asof import asof_left_join
 from ..operators.medians import normalization_factors
-from ..operators.modes import distinct_union, mode
 
 #: Years from a dataset's first that the short window holds beyond it.
 SHORT_WINDOW = 2
@@ -129,17 +128,47 @@ def author_key(null_affiliation: str = "reference") -> Column:
     return F.coalesce(F.col("primary_identifier"), F.concat(F.lower("clean_name"), F.lit("_["), parts, F.lit("]")))
 
 
+#: What an author's most frequent value is taken of, and under which name.
+AUTHOR_MODES = {"clean_name": "display_name", "name_type": "name_type", "topic_id": "primary_topic_id", "topic_name": "primary_topic_name", "subfield_id": "primary_subfield_id", "subfield_name": "primary_subfield_name"}
+AUTHOR_SUMS = {
+    "dataset_index_topic": "S_index_topics", "dataset_index_subfield": "S_index_subfield", "total_cit_weight": "total_cit_weight", "total_men_weight": "total_men_weight",
+    "total_citations": "sum_total_citations", "total_mentions": "sum_total_mentions",
+}
+AUTHOR_MEANS = {"dataset_index_topic": "avg_dataset_index_topics", "dataset_index_subfield": "avg_dataset_index_subfield", "fair_score": "avg_fair_score"}
+
+
 def author_index(creator_rows: DataFrame, index: DataFrame, null_affiliation: str = "reference") -> DataFrame:
-    """One row for each author: identity, field, years, sums of indices and of metrics. One aggregation over creators."""
+    """One row for each author: identity, field, years, sums of indices and of metrics.
+
+    An author's rows fold twice: by author, column and value to counts, beside one row of sums and extremes, and those by
+    author to the most frequent value (of several, the least) of each column. Both steps combine before they shuffle, so
+    that an author of a third of all rows, such as all creators without identifier and affiliation, isn't gathered.
+    """
     rows = creator_rows.join(index.drop("creators"), "dataset_id")
-    rows = rows.withColumns({"clean_name": F.trim("creator_name"), "affils": affiliation_list(F.to_json("affiliations"))}).withColumn("distinct_group_id", author_key(null_affiliation))
+    rows = rows.withColumns({"clean_name": F.trim("creator_name"), "affils": affiliation_list(F.to_json("affiliations"))}).withColumn("gid", author_key(null_affiliation))
     rows = rows.filter("primary_identifier is not null or clean_name is not null")
-    return rows.groupBy("distinct_group_id").agg(
-        F.when(F.max("primary_identifier").isNotNull(), "identifier").otherwise("name_affiliation").alias("grouping_method"), mode("clean_name").alias("display_name"), F.max("primary_identifier").alias("primary_identifier"), distinct_union("affils").alias("all_affiliations"),
-        mode("name_type").alias("name_type"), mode("topic_id").alias("primary_topic_id"), mode("topic_name").alias("primary_topic_name"), mode("subfield_id").alias("primary_subfield_id"), mode("subfield_name").alias("primary_subfield_name"),
-        F.size(F.collect_set("topic_id")).cast("long").alias("n_unique_topics"), F.size(F.collect_set("subfield_id")).cast("long").alias("n_unique_subfields"), F.min("pubyear").alias("first_pub_year"), F.max("pubyear").alias("last_pub_year"), F.count("*").alias("n_datasets"),
-        F.sum("dataset_index_topic").alias("S_index_topics"), F.sum("dataset_index_subfield").alias("S_index_subfield"), F.avg("dataset_index_topic").alias("avg_dataset_index_topics"), F.avg("dataset_index_subfield").alias("avg_dataset_index_subfield"),
-        F.sum("total_cit_weight").alias("total_cit_weight"), F.sum("total_men_weight").alias("total_men_weight"), F.sum("total_citations").alias("sum_total_citations"), F.sum("total_mentions").alias("sum_total_mentions"), F.avg("fair_score").alias("avg_fair_score"),
+    # Each row gives its values and, as value null of column '', what is summed.
+    pair = lambda name, value: F.struct(F.lit(name).alias("of"), value.cast("string").alias("value"))
+    own = [pair("", F.lit(None)), *[pair(c, F.col(c)) for c in AUTHOR_MODES]]
+    affils = F.transform(F.coalesce(F.col("affils"), F.array().cast("array<string>")), lambda x: pair("affils", x))
+    measures = [*dict.fromkeys([*AUTHOR_SUMS, *AUTHOR_MEANS])]
+    each = rows.select("gid", F.explode(F.concat(F.array(*own), affils)).alias("p"), "primary_identifier", "pubyear", *measures).filter("p.of = '' or p.value is not null")
+    only = lambda c: F.when(F.col("p.of") == "", F.col(c))
+    folded = each.groupBy("gid", F.col("p.of").alias("of"), F.col("p.value").alias("value")).agg(
+        F.count("*").alias("n"), F.max(only("primary_identifier")).alias("identifier"), F.min(only("pubyear")).alias("first_year"), F.max(only("pubyear")).alias("last_year"),
+        *[F.sum(only(c)).alias(f"sum_{c}") for c in measures], *[F.count(only(c)).alias(f"n_{c}") for c in AUTHOR_MEANS],
+    )
+    of = lambda name: F.col("of") == name
+    top = lambda c: F.min(F.when(of(c), F.struct(-F.col("n"), F.col("value").alias("value"))))["value"]
+    distinct = lambda c: F.count(F.when(of(c), F.lit(1)))
+    mean = lambda c: F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}"))
+    return folded.groupBy(F.col("gid").alias("distinct_group_id")).agg(
+        F.when(F.max("identifier").isNotNull(), "identifier").otherwise("name_affiliation").alias("grouping_method"), top("clean_name").alias("display_name"), F.max("identifier").alias("primary_identifier"),
+        F.array_sort(F.collect_list(F.when(of("affils"), F.col("value")))).alias("all_affiliations"),
+        *[top(c).alias(name) for c, name in AUTHOR_MODES.items() if c != "clean_name"],
+        distinct("topic_id").alias("n_unique_topics"), distinct("subfield_id").alias("n_unique_subfields"), F.min("first_year").alias("first_pub_year"), F.max("last_year").alias("last_pub_year"),
+        F.sum(F.when(of(""), F.col("n"))).alias("n_datasets"),
+        *[F.sum(f"sum_{c}").alias(name) for c, name in AUTHOR_SUMS.items()], *[mean(c).alias(name) for c, name in AUTHOR_MEANS.items()],
     )
 
 
