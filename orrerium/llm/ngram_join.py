@@ -262,8 +262,8 @@ def classes(docs: DataFrame) -> DataFrame:
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     every = nodes.select("node", "digest", "doc_id", "copies").join(links, "node", "left").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = every.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return every.join(named, "root").select("digest", "doc_id", "copies", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = every.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"))
+    return spread_join(every, named, "root", nodes.count()).select("digest", "doc_id", "copies", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
 def _has_word(text: str) -> Column:
