@@ -35,8 +35,11 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 STEP = 16
 TOLERANCE = 1e-9
-#: Nodes in a block of MinHash values; and of whole texts, where a text of over TEXT_SHARE bytes counts as several.
-SIGN_BLOCK, TEXT_BLOCK, TEXT_SHARE = 1024, 256, 1 << 15
+#: Nodes in a block of MinHash values; and of whole texts, where a text of over TEXT_SHARE bytes counts as several. A row
+#: is written once for each block of its group, so that large blocks save disk; a task holds two, of some 8 MB of text each.
+SIGN_BLOCK, TEXT_BLOCK, TEXT_SHARE = 4096, 2048, 1 << 12
+#: A shingle that more than one of so many texts have counts by a matrix product, others pair by pair.
+DENSE = 16
 #: Pairs that a task compares at once.
 AT_ONCE = 1 << 18
 
@@ -168,29 +171,45 @@ def _pairs(bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at = to
 
 
+def _staying(sign: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs (a, b) that no step of the comparison drops."""
+    matches = np.zeros(len(a), np.int64)
+    for k, m in enumerate(least):
+        part = slice(k * STEP, (k + 1) * STEP)
+        matches += (sign[a, part] == sign[b, part]).sum(axis=1)
+        ok = matches >= m
+        a, b, matches = a[ok], b[ok], matches[ok]
+    return a, b
+
+
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning stars (a, b) of the pairs that stay. Columns: bucket, lo, hi, block, node, sign."""
+    """Spanning stars (a, b) of the pairs that stay. Columns: bucket, lo, hi, block, node, sign.
+
+    Each group's first node meets all others; after that, a pair that pairs before it connect already is not compared, since
+    it cannot change what the star spans.
+    """
     least = least_matches()
     for table, bounds in _groups(batches, 3):
         lo, hi, block, node = (table.column(i).to_numpy() for i in range(1, 5))
         sign = table.column(5).combine_chunks()
         sign = (sign.chunk(0) if isinstance(sign, pa.ChunkedArray) else sign).flatten().to_numpy().view(np.uint16).reshape(-1, HASHES)
-        stay: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in _pairs(bounds):
-            ok = (lo[a] == hi[a]) | (block[a] != block[b])
-            a, b = a[ok], b[ok]
-            matches = np.zeros(len(a), np.int64)
-            for k, m in enumerate(least):
-                part = slice(k * STEP, (k + 1) * STEP)
-                matches += (sign[a, part] == sign[b, part]).sum(axis=1)
-                ok = matches >= m
-                a, b, matches = a[ok], b[ok], matches[ok]
+        centre = np.repeat(bounds[:-1], np.diff(bounds))
+        others = np.flatnonzero(centre != np.arange(len(node)))
+        root = np.arange(len(node))
+        for at in range(0, len(others), AT_ONCE):
+            a, b = _staying(sign, centre[others[at : at + AT_ONCE]], others[at : at + AT_ONCE], least)
+            root[b] = a
+        # Groups that their first node connects wholly need no more pairs.
+        several = np.maximum.reduceat(root != centre, bounds[:-1])
+        some = np.flatnonzero(np.repeat(several, np.diff(bounds)))
+        for a, b in _pairs(np.concatenate([[0], np.cumsum(np.diff(bounds)[several])])) if len(some) else ():
+            a, b = some[a], some[b]
+            ok = (root[a] != root[b]) & ((lo[a] == hi[a]) | (block[a] != block[b]))
+            a, b = _staying(sign, a[ok], b[ok], least)
             if len(a):
-                stay.append((a, b))
-        if stay:
-            a, b = (np.concatenate(x) for x in zip(*stay))
-            root = _roots(len(node), a, b)
-            moved = np.flatnonzero(root != np.arange(len(node)))
+                root = _roots(len(node), np.concatenate([np.arange(len(node)), a]), np.concatenate([root, b]))
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        if len(moved):
             yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
 
 
@@ -204,23 +223,59 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_pruned, "a long, b long")
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the numbers of common members of all sets, by products of slices of the membership matrix."""
-    n = len(sets)
-    out = np.zeros((n, n), np.float32)
-    members, ids, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
-    shared = counts[ids] > 1
-    ids, rows = ids[shared], rows[shared]
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows[order]
-    column = np.cumsum(np.concatenate([[0], ids[1:] != ids[:-1]])) if len(ids) else ids
-    width = max(1, (1 << 22) // n)
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [at, at + width])
-        part = np.zeros((n, min(width, int(column[-1]) + 1 - at)), np.float32)
-        part[rows[a:b], column[a:b] - at] = 1
-        out += part @ part.T
+def _cross(n: np.ndarray, m: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of n[i] and m[i] members, all pairs of members of each i, some at a time: i and the two places in its runs."""
+    total = np.concatenate([[0], np.cumsum(n * m)])
+    at = 0
+    while at < len(n):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + AT_ONCE, side="right")) - 1)
+        i = np.repeat(np.arange(at, to), (n * m)[at:to])
+        place = np.arange(total[at], total[to]) - total[i]
+        yield i, place // m[i], place % m[i]
+        at = to
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the numbers of common members of each set on the left (at least one) with each on the right.
+
+    Frequent members count by products of slices of the membership matrices, rare ones by their pairs of sets, so that
+    neither many members nor a frequent one make the work much larger than the result needs.
+    """
+    out = np.zeros((len(left), len(right)), np.float32)
+    ids = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    half = sum(len(s) for s in left)
+    sides = []
+    for own, sets in ((ids[:half], left), (ids[half:], right)):
+        order = np.argsort(own, kind="stable")
+        sides.append((own[order], np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]))
+    (a, row), (b, col) = sides
+    n, m = (np.bincount(x, minlength=int(ids.max()) + 1) for x in (a, b))
+    first_a, first_b = np.cumsum(n) - n, np.cumsum(m) - m
+    often = n * m * DENSE * DENSE > out.size
+    dense = np.flatnonzero(often)
+    width = max(1, (1 << 22) // max(out.shape))
+    for at in range(0, len(dense), width):
+        parts = []
+        for count, first, sets, rows in ((n, first_a, row, len(left)), (m, first_b, col, len(right))):
+            some = count[dense[at : at + width]]
+            own = np.repeat(first[dense[at : at + width]], some) + np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+            part = np.zeros((rows, len(some)), np.float32)
+            part[sets[own], np.repeat(np.arange(len(some)), some)] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    rare = np.flatnonzero(~often & (n > 0) & (m > 0))
+    for i, x, y in _cross(n[rare], m[rare]):
+        np.add.at(out.reshape(-1), row[first_a[rare[i]] + x] * len(right) + col[first_b[rare[i]] + y], np.float32(1))
+    return out
+
+
+def _links(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Whether the similarity of each set on the left with each on the right reaches the threshold."""
+    common = common_counts(left, right)
+    out = np.zeros(common.shape, bool)
+    size = np.array([len(s) for s in right], np.float64)
+    for i, own in enumerate(left):
+        out[i] = common[i] >= THRESHOLD * (len(own) + size - common[i]) - 1e-9
     return out
 
 
@@ -232,20 +287,24 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = table.column(6)
         for start, end in zip(bounds[:-1], bounds[1:]):
             rows = np.arange(start, end)
-            if len(rows) < 2:
+            one = lo[start] == hi[start]
+            left, right = (rows, rows) if one else (rows[block[rows] == lo[start]], rows[block[rows] == hi[start]])
+            if len(rows) < 2 or not len(left) or not len(right):
                 continue
             sets = []
-            for text in texts.take(pa.array(rows)):
+            for text in texts.slice(start, len(rows)):
                 data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
                 sets.append(shingles(words_of(data, np.array([0, len(data)]), is_word)[0]))
-            size = np.array([len(s) for s in sets], np.float64)
-            common = common_counts(sets).astype(np.float64)
-            linked = common >= THRESHOLD * (size[:, None] + size[None, :] - common) - 1e-9
-            np.fill_diagonal(linked, False)
-            if lo[start] != hi[start]:
-                linked &= block[rows][:, None] != block[rows][None, :]
-            root = _roots(len(rows), *np.nonzero(linked))
-            yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(linked @ copies[rows]), pa.array(node[rows][root])], names=["node", "links", "root"])
+            linked = _links([sets[i - start] for i in left], [sets[i - start] for i in right])
+            links = np.zeros(len(rows), np.int64)
+            if one:
+                np.fill_diagonal(linked, False)
+            else:
+                links[right - start] = copies[left] @ linked
+            links[left - start] += linked @ copies[right]
+            a, b = np.nonzero(linked)
+            root = _roots(len(rows), left[a] - start, right[b] - start)
+            yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(links), pa.array(node[rows][root])], names=["node", "links", "root"])
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -55,6 +56,33 @@ def test_join_in_small_blocks(spark, rows, monkeypatch):
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in ngram_join.join(df).collect()) == Counter(brute_links(rows))
 
 
+def test_common_members_are_counted_by_products_and_by_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, 60) ** 2 // 300).astype(np.uint64) for _ in range(40)]
+    left, right = sets[:25], sets[20:]
+    want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+    for dense, at_once in ((1, 7), (4, 1 << 18), (1000, 50)):
+        monkeypatch.setattr(ngram_join, "DENSE", dense)
+        monkeypatch.setattr(ngram_join, "AT_ONCE", at_once)
+        assert (ngram_join.common_counts(left, right) == want).all()
+
+
+def test_pruned_stars_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 9, (6, ngram_join.HASHES)).astype(np.uint16)
+    sign = np.array([np.where(rng.random(ngram_join.HASHES) < 0.2, 100 + i, base[i % 6]) for i in range(90)], np.uint16)
+    bucket = np.sort(rng.integers(0, 4, 90))
+    columns = [pa.array(x) for x in (bucket, np.zeros(90, np.int64), np.zeros(90, np.int64), np.zeros(90, np.int64), np.arange(90))]
+    signs = pa.array(list(sign.view(np.int64).reshape(90, -1)), pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([*columns, signs], names=["bucket", "lo", "hi", "block", "node", "sign"])
+    stars = [(a, b) for out in ngram_join._pruned(iter([batch])) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+    pairs = [(a, b) for a in range(90) for b in range(a) if bucket[a] == bucket[b]]
+    stay = ngram_join._staying(sign, *(np.array(x) for x in zip(*pairs)), ngram_join.least_matches())
+    assert 0 < len(stay[0]) < len(pairs) and len(stars) < 90
+    roots = [ngram_join._roots(90, *(np.array(x, np.int64) for x in zip(*edges))) for edges in (stars, list(zip(*stay)))]
+    assert (roots[0] == roots[1]).all()
+
+
 def test_pruning_bounds_rise_and_keep_true_pairs():
     least = ngram_join.least_matches()
     assert least == sorted(least) and least[-1] < 0.8 * ngram_join.HASHES
