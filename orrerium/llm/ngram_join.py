@@ -185,8 +185,8 @@ def _staying(sign: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[int]) -
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning stars (a, b) of the pairs that stay. Columns: bucket, lo, hi, block, node, sign.
 
-    Each group's first node meets all others; after that, a pair that pairs before it connect already is not compared, since
-    it cannot change what the star spans.
+    Each group's first node, its least, meets all others, so that the stars of groups that overlap mostly share their centre.
+    After that, a pair that pairs before it connect already is not compared, since it cannot change what the star spans.
     """
     least = least_matches()
     for table, bounds in _groups(batches, 3):
@@ -219,7 +219,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = spread_join(buckets, sizes, "bucket", nodes.count() * BANDS)
     dealt = _dealt(shared, "n", SIGN_BLOCK).join(nodes.select("node", "sign"), "node")
-    dealt = dealt.select("bucket", "lo", "hi", "block", "node", "sign").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    dealt = dealt.select("bucket", "lo", "hi", "block", "node", "sign").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node")
     return dealt.mapInArrow(_pruned, "a long, b long")
 
 
@@ -317,7 +317,7 @@ def classes(docs: DataFrame) -> DataFrame:
     texts = docs.groupBy(_row_key("text").alias("digest")).agg(F.first("text").alias("text"))
     whole = near.join(texts, "digest")
     dealt = _dealt(whole, "size", TEXT_BLOCK).select(F.col("root").alias("part"), "lo", "hi", "block", "node", "copies", "text")
-    found = checkpoint(dealt.repartition("part", "lo", "hi").sortWithinPartitions("part", "lo", "hi").mapInArrow(_verified, "node long, links long, root long"))
+    found = checkpoint(dealt.repartition("part", "lo", "hi").sortWithinPartitions("part", "lo", "hi", "node").mapInArrow(_verified, "node long, links long, root long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     every = nodes.select("node", "digest", "doc_id", "copies").join(links, "node", "left").join(grouped, "node", "left").withColumn("root", F.coalesce("root", "node"))
