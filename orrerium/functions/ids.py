@@ -113,3 +113,12 @@ def preferred_identifier(c, *kinds: str) -> Column:
         return F.get(F.filter(c, lambda x: x["identifier_type"] == kind), F.lit(0))
 
     return F.coalesce(*map(first, kinds), F.get(c, F.lit(0)))
+
+
+def reachable(head, get, allow_blocked: bool = False) -> Column:
+    """Whether recorded answers show that a link works: the status of a HEAD request or, where the server refuses that kind
+    or fails, of a GET request. Success and redirection do; 401 and 403 do if `allow_blocked`. No answer is none."""
+    head, get = _col(head), _col(get)
+    status = F.when(head.isin(405, 501) | head.between(500, 599), get).otherwise(head)
+    works = status.between(200, 399) | (F.lit(allow_blocked) & status.isin(401, 403))
+    return F.coalesce(works, F.lit(False))

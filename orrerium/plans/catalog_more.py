@@ -306,3 +306,42 @@ def sorted_out_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("size"))
     good, bad = writers.sorted_out(rows, {"size": "size <= 25", "key": "if(k % 3 = 0, null, true)"})
     return good.select("k", F.lit("").alias("failed")).unionByName(bad.select("k", F.array_join("failed", ",").alias("failed")))
+
+
+STATUS = "select o_orderkey as k, cast(case o_orderkey % 7 when 0 then 200 when 1 then 302 when 2 then 403 when 3 then 404 when 4 then 405 when 5 then 503 end as int) as head, cast(case o_orderkey % 3 when 0 then 200 when 1 then 401 else 404 end as int) as get"
+
+
+@query("""select o_orderkey as k, o_orderkey % 7 in (0, 1) or (o_orderkey % 7 in (4, 5) and o_orderkey % 3 = 0) as works,
+    o_orderkey % 7 in (0, 1, 2) or (o_orderkey % 7 in (4, 5) and o_orderkey % 3 < 2) as works_or_blocked from orders""")
+def reachable_links(spark: SparkSession, d: str) -> DataFrame:
+    rows = _sql(spark, d, STATUS + " from {orders}", "orders")
+    return rows.select("k", ids.reachable("head", "get").alias("works"), ids.reachable("head", "get", allow_blocked=True).alias("works_or_blocked"))
+
+
+@query("select p_partkey as k, p_name || ', ' || p_brand as name from part")
+def sniffed_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """A lookup table whose separator the header shows; its values hold other signs that could be one."""
+    at = _shared(spark)
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("k"), F.concat_ws(", ", "p_name", "p_brand").alias("name"))
+    writers.csv(rows, f"{at}/sniffed", sep="\t")
+    return readers.mapping(spark, f"{at}/sniffed", sep=None).select(F.col("k").cast("long").alias("k"), "name")
+
+
+@query("""select 3 * count(*) as n_lines, count(*) as n_blank, count(*) as n_marked, 2 * count(*) as n_kept from part""")
+def counted_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of joined files, with blank ones and without."""
+    at = _shared(spark)
+    lines = F.explode(F.array(F.lit('<?xml version="1.0"?>'), F.lit(" "), F.col("p_name"))).alias("value")
+    table(spark, d, "part").select(lines).write.text(f"{at}/raw")
+    writers.joined_lines(spark, [f"{at}/raw"], f"{at}/all", blank=True)
+    writers.joined_lines(spark, [f"{at}/raw"], f"{at}/kept")
+    kept = readers.line_counts(spark, f"{at}/kept").select(F.col("n_lines").alias("n_kept"))
+    return readers.line_counts(spark, f"{at}/all").crossJoin(F.broadcast(kept))  # one row each
+
+
+@query("select count(*) as n, count(*) filter (where p_size is null or p_size > 25) as n_large, cast(max(p_partkey) as bigint) as last from part")
+def audited_load(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of a load, taken while it is written."""
+    at, part = _shared(spark), table(spark, d, "part")
+    seen = writers.audited(part, f"{at}/audited", F.count("*").alias("n"), F.count(F.when(F.coalesce(F.col("p_size") > 25, F.lit(True)), 1)).alias("n_large"), F.max("p_partkey").cast("long").alias("last"))
+    return spark.createDataFrame([(seen["n"], seen["n_large"], seen["last"])], "n bigint, n_large bigint, last bigint")

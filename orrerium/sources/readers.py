@@ -42,8 +42,19 @@ def ranked_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
     return out
 
 
-def mapping(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A lookup table in CSV: header names without blanks, a byte order mark ignored, `seq` for the last of equal keys."""
+def separator(spark: SparkSession, path: str, known: str = ",;|\t") -> str:
+    """The one of the known signs that is most frequent in a file's first line; a tab if it has none."""
+    line = spark.read.text(path).first()
+    counts = [(line[0] or "").count(sign) if line else 0 for sign in known]
+    return known[counts.index(max(counts))] if max(counts) else "\t"
+
+
+def mapping(spark: SparkSession, path: str, sep: str | None = ",") -> DataFrame:
+    """A lookup table in CSV: header names without blanks, a byte order mark ignored, `seq` for the last of equal keys.
+
+    Without a separator, the one that the header shows is taken.
+    """
+    sep = sep or separator(spark, path)
     rows = spark.read.option("header", "true").option("sep", sep).option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true").csv(path)
     rows = rows.toDF(*[c.strip().lstrip("﻿").strip() for c in rows.columns])
     return rows.withColumn("seq", F.monotonically_increasing_id())
@@ -98,6 +109,13 @@ def patent_records(documents: DataFrame) -> DataFrame:
     return rows.filter((F.size("doi") > 0) | (F.size("emdb_id") > 0))
 
 
+def line_counts(spark: SparkSession, path: str, marker: str = "<?xml") -> DataFrame:
+    """One row: lines, blank ones among them, and lines that start with a marker, such as the documents of an archive's file."""
+    value = F.col("value")
+    count = lambda condition: F.count(F.when(condition, 1))
+    return spark.read.text(path).agg(F.count("*").alias("n_lines"), count(F.trim(value) == "").alias("n_blank"), count(value.startswith(marker)).alias("n_marked"))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their file and place in it, for what came first."""
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))

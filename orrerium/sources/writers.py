@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Lines in one exported file.
@@ -43,8 +43,8 @@ def parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
-def csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+def csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    df.write.mode("overwrite").option("header", "true").option("sep", sep).csv(path)
 
 
 def day_partitions(df: DataFrame, path: str, day: str = "day") -> None:
@@ -52,9 +52,17 @@ def day_partitions(df: DataFrame, path: str, day: str = "day") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
-def joined_lines(spark: SparkSession, paths: list[str], out: str) -> None:
-    """The lines of text files that aren't blank."""
-    spark.read.text(paths).filter(F.trim("value") != "").write.mode("overwrite").text(out)
+def joined_lines(spark: SparkSession, paths: list[str], out: str, blank: bool = False) -> None:
+    """The lines of text files, blank ones only if asked for."""
+    lines = spark.read.text(paths)
+    (lines if blank else lines.filter(F.trim("value") != "")).write.mode("overwrite").text(out)
+
+
+def audited(df: DataFrame, path: str, *measures: Column) -> dict:
+    """Writes Parquet and returns the measures, named aggregates that are taken of the rows while they are written."""
+    seen = Observation()
+    parquet(df.observe(seen, *measures), path)
+    return seen.get
 
 
 def with_prefix_only(df: DataFrame, prefix: str) -> DataFrame:
