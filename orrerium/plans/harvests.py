@@ -208,17 +208,35 @@ README_NAMES, MAIN_BRANCHES = ("README.md", "readme.md", "README", "README.txt")
 
 
 def readme_contents(origin: DataFrame, status: DataFrame, branch: DataFrame, revision: DataFrame, entry: DataFrame, content: DataFrame, prefix: str = "https://github.com/") -> DataFrame:
-    """Of each repository under a prefix the README's content of the last visit: a chain of equi-joins, filters first."""
+    """Of each repository under a prefix the README's content of the last visit.
+
+    Of a directory, and of a snapshot, only the greatest README can be the answer: files fold to one for each directory
+    and then for each snapshot before visits meet them, so that no visit is paired with all branches of its snapshot.
+    """
     named = lambda names: F.col("name").isin(*[bytearray(n.encode()) for n in names])
-    visits = origin.filter(F.col("url").startswith(prefix)).select("url").join(status.filter("snapshot is not null"), F.col("url") == F.col("origin")).select("url", F.col("date").alias("visit_date"), F.col("snapshot").alias("snapshot_id"))
-    heads = branch.filter((F.col("target_type") == "revision") & named(MAIN_BRANCHES)).select("snapshot_id", F.col("target").alias("revision_id"))
-    roots = visits.join(heads, "snapshot_id").join(revision.select(F.col("id").alias("revision_id"), F.col("directory").alias("directory_id")), "revision_id")
+    ours = lambda c: F.col(c).startswith(prefix)
     files = entry.filter((F.col("type") == "file") & named(README_NAMES)).select("directory_id", F.col("target").alias("sha1_git"))
-    return latest_per_url(roots.join(files, "directory_id").join(content, "sha1_git").select("url", "visit_date", "sha1_git", "sha1"))
+    found = _greatest(files.join(content.select("sha1_git", "sha1"), "sha1_git"), "directory_id", "sha1_git", "sha1")
+    heads = branch.filter((F.col("target_type") == "revision") & named(MAIN_BRANCHES)).select("snapshot_id", F.col("target").alias("revision_id"))
+    roots = heads.join(revision.select(F.col("id").alias("revision_id"), F.col("directory").alias("directory_id")), "revision_id")
+    best = _greatest(roots.join(_dealt(found), "directory_id"), "snapshot_id", "sha1_git", "sha1")
+    visits = status.filter(F.col("snapshot").isNotNull() & ours("origin")).select(F.col("origin").alias("url"), F.col("date").alias("visit_date"), F.col("snapshot").alias("snapshot_id"))
+    # the origins come last: their join finds the rows dealt by url already, and one that is listed twice adds none
+    return latest_per_url(visits.join(_dealt(best), "snapshot_id")).join(origin.filter(ours("url")).select("url"), "url", "left_semi")
+
+
+def _greatest(rows: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Of each key the row whose columns, compared in turn, are the greatest."""
+    return rows.groupBy(key).agg(F.max(F.struct(*columns)).alias("r")).select(key, "r.*")
+
+
+def _dealt(folded: DataFrame) -> DataFrame:
+    """A grouped side that its join shuffles anew: only then can run-time planning split what is frequent on the other side."""
+    return folded.hint("rebalance")
 
 
 def latest_per_url(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("url").agg(F.max_by(F.struct("sha1_git", "sha1"), F.struct("visit_date", "sha1_git")).alias("r"), F.max("visit_date").alias("visit_date")).select("url", "visit_date", "r.*")
+    return _greatest(rows, "url", "visit_date", "sha1_git", "sha1")
 
 
 def readme_mentions(readmes: DataFrame) -> DataFrame:
